@@ -17,7 +17,7 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -93,25 +93,32 @@ def _place(plan):
     return run
 
 
-def pack_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
-    """Adds sequence_id and offset to rows (doc_id, piece, .., length); lengths are 1 to capacity."""
+def pack_pieces(pieces: DataFrame, capacity: int, order: list[str]) -> DataFrame:
+    """Adds sequence_id and offset to pieces of column length, 1 to capacity; the columns of order tell them apart."""
     spark = pieces.sparkSession
     lengths = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
     plan = sorted(best_fit_plan(lengths, capacity))
     shared = spark.sparkContext.broadcast(np.array(plan, np.int64).reshape(-1, 5).tobytes())
-    ranked = rank_in_class(pieces, ["length"], ["doc_id", "piece"])
+    ranked = rank_in_class(pieces, ["length"], order)
     return ranked.select(*pieces.columns, "rank").mapInArrow(_place(shared), StructType(list(pieces.schema)).add("sequence_id", "long").add("offset", "long"))
 
 
-def pack_documents(documents: DataFrame, capacity: int = 4096, end_id: int = 1, path: str | None = None) -> DataFrame:
+def pack_documents(documents: DataFrame, capacity: int = 4096, end_id: int = 1, path: str | None = None, repeats: bool = False) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
+    With repeats, rows that repeat an id are copies of the document, all of them packed, told apart by a column copy.
+
     A null or empty text is the end id alone. Only documents longer than capacity are cut. Repeated ids:
     unique_documents. Equal lengths are ranked by a hash slot, then doc_id, then piece, so reruns agree.
     An empty table gives no rows; extra columns are not read.
     """
-    docs = unique_documents(documents, "text")
-    return pack_pieces(cut(docs.mapInArrow(_cut_pieces(path, capacity, end_id), _PIECES), "pieces"), capacity)
+    docs = documents.select("doc_id", "text").where("doc_id is not null") if repeats else unique_documents(documents, "text")
+    pieces = cut(docs.mapInArrow(_cut_pieces(path, capacity, end_id), _PIECES), "pieces")
+    order = ["doc_id", "piece"]
+    if repeats:
+        nth = F.row_number().over(Window.partitionBy("doc_id", "piece").orderBy("length", "ids_crc32")) - 1
+        pieces, order = cut(pieces.withColumn("copy", nth), "copies"), [*order, "copy"]
+    return pack_pieces(pieces, capacity, order)
 
 
 def packed_ids(documents: DataFrame, packed: DataFrame, capacity: int = 4096, end_id: int = 1, path: str | None = None) -> DataFrame:
