@@ -11,10 +11,10 @@ Documents are sets of distinct k-word shingles. Two link when den * |A ∩ B| >=
    n - ceil(num*n/den) + r tokens. The order puts common tokens last (counts of all tokens of all documents in
    2**bits counters; a shared counter changes only the order and never the result), then goes by hash.
    Tokens of one document alone go before the matrix is joined.
-4. A query meets the groups other than its own: the count of its tokens in a group's union bounds its overlap with
-   any member, and the group's smallest and largest sets bound the sizes. Only groups that pass both are opened,
-   in blocks again, and each pair's exact Jaccard is computed. No link between different sets is lost, since
-   two linked sets in different groups always pass both bounds.
+4. A query meets the groups other than its own. Its tokens in a group's union, those before them that any other
+   document shares and what follows them in the common order bound its overlap with any member, which must reach num/(num+den) of both sizes together; the group's
+   smallest and largest sets bound the sizes. Only groups that pass are opened, in blocks again, and each pair's
+   exact Jaccard is computed. No link between different sets is lost: two linked sets in different groups pass.
 5. Components over the links of both steps give each document's class.
 
 The counters are the only broadcast of fixed size (2**bits bytes); membership tables are broadcast only below a
@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import U, as_long, cut, maybe_broadcast, mix, shingles, table, unique_documents
@@ -89,7 +89,7 @@ def _merge_counts(batches):
 
 
 def _prefixes(k: int, bits: int, num: int, den: int, classes):
-    """The first tokens of each set in the common order, as rows (token, doc_id, n)."""
+    """The first tokens of each set in the common order, as rows (token, doc_id, n, pos), pos from 1."""
 
     def run(batches):
         cls = np.frombuffer(classes.value, np.uint8)
@@ -100,12 +100,12 @@ def _prefixes(k: int, bits: int, num: int, den: int, classes):
                     need = -(-num * n // den)
                     p = n - need + min(LEAST, need)
                     key = (cls[(x >> U(64 - bits)).astype(np.int64)].astype(np.uint64) << U(57)) | (mix(x) >> U(7))
-                    toks.append(np.partition(key, p - 1)[:p] if p < n else key)
+                    toks.append(np.sort(np.partition(key, p - 1)[:p] if p < n else key))
                     ids.append(doc)
                     ns.append((p, n))
             if toks:
                 rep = [p for p, _ in ns]
-                yield pa.RecordBatch.from_arrays([pa.array(as_long(np.concatenate(toks))), pa.array(np.repeat(np.array(ids, np.int64), rep)), pa.array(np.repeat(np.array([n for _, n in ns], np.int64), rep))], names=["token", "doc_id", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(as_long(np.concatenate(toks))), pa.array(np.repeat(np.array(ids, np.int64), rep)), pa.array(np.repeat(np.array([n for _, n in ns], np.int64), rep)), pa.array(np.concatenate([np.arange(1, p + 1) for p in rep]))], names=["token", "doc_id", "n", "pos"])
 
     return run
 
@@ -210,8 +210,8 @@ def jaccard_classes(documents: DataFrame, k: int = 5, num: int = 80, den: int =
     shared = spark.sparkContext.broadcast(classes.tobytes())
 
     reps = cut(sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("k1").alias("k1"), F.first("k2").alias("k2")), "reps")
-    posting = docs.mapInArrow(_prefixes(k, bits, num, den, shared), "token long, doc_id long, n long")
-    posting = cut(posting.repartition("token").sortWithinPartitions("token").mapInArrow(_shared_only, "token long, doc_id long, n long"), "postings")
+    posting = docs.mapInArrow(_prefixes(k, bits, num, den, shared), "token long, doc_id long, n long, pos long")
+    posting = cut(posting.repartition("token").sortWithinPartitions("token").mapInArrow(_shared_only, "token long, doc_id long, n long, pos long"), "postings")
 
     # groups: verified links within blocks that share a minhash
     keys = reps.select("rep", "n", F.explode(F.array(F.xxhash64(F.lit(1), "k1"), F.xxhash64(F.lit(2), "k2"))).alias("key"))
@@ -225,13 +225,22 @@ def jaccard_classes(documents: DataFrame, k: int = 5, num: int = 80, den: int =
     # the matrix of tokens and groups, and the groups that a query must open
     sized = cut(group.groupBy("g").agg(F.count("*").alias("size"), F.min("n").alias("low"), F.max("n").alias("high"), F.sum("n").alias("total")), "sized")
     mine = group.join(sized, "g")
-    rows = cut(posting.join(mine.withColumnRenamed("id", "doc_id").drop("n"), "doc_id"), "matrix")
-    union = rows.groupBy("token", "g").agg(F.first("size").alias("s2"), F.first("low").alias("low2"), F.first("high").alias("high2")).withColumnRenamed("g", "g2")
-    ask = rows.select("token", "doc_id", "n", "g", "size")
+    rows = cut(posting.join(mine.withColumnRenamed("id", "doc_id").drop("n"), "doc_id").withColumn("k", F.row_number().over(Window.partitionBy("doc_id").orderBy("token"))), "matrix")
+    rest = F.max(F.col("n") - F.col("pos")).alias("rest")  # of any member, the tokens after this one
+    upto = F.max("k").alias("k2")  # of any member, its tokens so far that some other document shares
+    union = rows.groupBy("token", "g").agg(upto, F.first("size").alias("s2"), F.first("low").alias("low2"), F.first("high").alias("high2"), rest).withColumnRenamed("g", "g2")
+    ask = rows.select("token", "doc_id", "n", "pos", "k", "g", "size")
+    lowest = F.greatest(F.col("low2"), F.ceil(F.col("n") * num / den))  # the smallest set that can link
+    enough = lambda bound: bound * (num + den) >= (F.col("n") + lowest) * num
+    able = enough(F.least("k", "k2") + F.least(F.col("n") - F.col("pos"), F.col("rest")))
     smaller = (F.col("size") < F.col("s2")) | ((F.col("size") == F.col("s2")) & (F.col("g") < F.col("g2")))
     fits = (F.col("n") * den >= F.col("low2") * num) & (F.col("high2") * den >= F.col("n") * num)
-    need = F.least(F.lit(LEAST), F.ceil(F.col("n") * num / den), F.ceil(F.col("low2") * num / den))
-    opened = cut(ask.join(union, "token").where(smaller & fits).groupBy("doc_id", "n", "g2", "low2").agg(F.count("*").alias("overlap")).where(F.col("overlap") >= need).select("doc_id", "g2"), "opened")
+    least = F.least(F.lit(LEAST), F.ceil(F.col("n") * num / den), F.ceil(F.col("low2") * num / den))
+    met = ask.join(union, "token").where(smaller & fits & able).groupBy("doc_id", "n", "g2", "s2", "low2")
+    met = met.agg(F.count("*").alias("overlap"), F.min("pos").alias("i"), F.max("pos").alias("j"), F.min("rest").alias("after"), F.max("rest").alias("most"))
+    # the overlap with a set alone is what is met and what can follow the last; with a member of several, what can follow the first
+    bound = F.when(F.col("s2") == 1, F.col("overlap") + F.least(F.col("n") - F.col("j"), F.col("after"))).otherwise(1 + F.least(F.col("n") - F.col("i"), F.col("most")))
+    opened = cut(met.where((F.col("overlap") >= least) & enough(bound)).select("doc_id", "g2"), "opened")
 
     hosts = cut(opened.groupBy("g2").agg(F.count("*").alias("asks")).join(sized.withColumnRenamed("g", "g2"), "g2").select("g2", F.ceil(F.greatest(F.col("size") / BLOCK_DOCS, F.col("total") / BLOCK_TOKENS)).cast("int").alias("chunks"), F.ceil(F.col("asks") / BLOCK_DOCS).cast("int").alias("turns")), "hosts")
     queries = opened.join(hosts, "g2").select("g2", "doc_id", F.pmod(F.xxhash64("doc_id"), F.col("turns")).cast("int").alias("turn"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
