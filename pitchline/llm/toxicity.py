@@ -21,7 +21,7 @@ from pyspark.sql.types import StructType
 from .common import U, mix, slices, table, text_buffers, unique_documents, word_hashes, word_spans
 
 WINDOW, STRIDE, DIM, HIDDEN, CHARS, VOCAB = 32, 16, 8, 8, 4096, 20_000
-PER_CLASS, PER_DOC, LONGEST, EPOCHS, THRESHOLD = 2500, 6, 40_000, 5, 0.3
+PER_CLASS, PER_DOC, LONGEST, STEPS, THRESHOLD = 2500, 6, 40_000, 300, 0.3
 _BATCH = 4096
 
 
@@ -45,6 +45,27 @@ def _distinct_words(data, off):
     return n, which, key, row, (mix(g) % U(CHARS)).astype(np.int64)
 
 
+def _gathered(col: pa.Array):
+    """_distinct_words over a whole column, by slices: memory beyond the results is a slice's."""
+    data, off = text_buffers(col)
+    ns, words, keys, rows, tris, base = [], [], [], [], [], 0
+    for i, j in slices(off, 1 << 20):
+        n, which, key, row, tri = _distinct_words(data[off[i] : off[j]], off[i : j + 1] - off[i])
+        ns.append(n)
+        words.append(key[which])
+        keys.append(key)
+        rows.append(row + base)
+        tris.append(tri)
+        base += len(key)
+    key, first = np.unique(np.concatenate(keys), return_index=True)
+    place = np.full(base, -1)
+    place[first] = np.arange(len(key))
+    row, tri = place[np.concatenate(rows)], np.concatenate(tris)
+    row, tri = row[row >= 0], tri[row >= 0]
+    order = np.argsort(row, kind="stable")
+    return np.concatenate(ns), np.searchsorted(key, np.concatenate(words)), key, row[order], tri[order]
+
+
 def _window_rows(n: np.ndarray):
     """(first word, words, text) of the overlapping windows of texts with n words each, one after the other."""
     k = np.where(n > 0, np.maximum(0, -(-(n - WINDOW) // STRIDE)) + 1, 0)
@@ -184,8 +205,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 3) -> Net:
         net = Net(np.zeros(0, np.uint64), np.zeros(0, np.float32))
         net.shift = 1e9
         return net
-    data, off = text_buffers(pa.array(texts, pa.large_string()))
-    n, which, key, row, tri = _distinct_words(data, off)
+    n, which, key, row, tri = _gathered(pa.array(texts, pa.large_string()))
     owner = np.repeat(np.arange(len(n)), n)
     pair = np.unique(which.astype(np.int64) * len(n) + owner)  # each word once a text
     word, text = pair // len(n), pair % len(n)
@@ -207,16 +227,16 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 3) -> Net:
     step, rate = 0, 0.01
     weight = np.where(labels > 0, len(labels) / (2 * max(labels.sum(), 1)), len(labels) / (2 * max((1 - labels).sum(), 1))).astype(np.float32)
     tri_at = np.searchsorted(row, np.arange(len(key) + 1))
-    epochs = EPOCHS + int(max(0, min(15, 6000 // max(len(pool), 1))))
+    epochs = int(np.clip(STEPS // max(1, 2 * len(texts) // 256), 10, 60))
     for epoch in range(epochs):
-        if epoch >= 1:  # the windows that speak loudest in their texts, beside some at random
+        if epoch in (1, 2, 4, 8, 16, 32):  # the windows that speak loudest in their texts, beside some at random
             x = net.inputs(wid, row, tri, len(key))
             loud = net.windows(x, which, first, size)
             order = np.lexsort((-loud, owner))
             nth = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
             pool = order[nth < 2]
             pool = pool[~held[owner[pool]]]
-        rate = 0.01 * 0.6**epoch if epochs == EPOCHS else 0.01 * 0.9**epoch
+        rate = 0.01 * (1 - 0.9 * epoch / epochs)
         pool = rng.permutation(pool)
         for i in range(0, len(pool), 256):
             b = pool[i : i + 256]
