@@ -4,7 +4,7 @@ Fit: coarse centroids and the residuals' codebooks come from a sample of at most
 id hashes), on the driver; their sizes are parameters. Index: every vector gets its nearest list and m code
 bytes. Search: a query probes its nearest lists; a list's codes are dealt over blocks of about BLOCK codes and its
 queries over blocks of QUERIES, and each pair of blocks is one group: asymmetric distances come from a table of the query's
-distances to all codewords. The best `rerank` codes of each query over all groups are reranked by exact distance in
+distances to all codewords. Each group gives its best codes, and the best `rerank` of each query over all groups are reranked by exact distance in
 double precision on the original vectors. A list, however large, is never in one task.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, table
 
-SAMPLE, BLOCK, QUERIES, RERANK, M = 20_000, 8192, 256, 200, 16
+SAMPLE, BLOCK, QUERIES, RERANK, M = 20_000, 8192, 256, 400, 16
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> np.ndarray:
@@ -146,8 +146,8 @@ def search(vectors: DataFrame, is_query, k: int = 10, lists: int | None = None,
     n = rows.count()
     if n < 2:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    lists = lists or int(max(1, min(1024, n // 256)))
-    probes = probes or max(8, lists // 8)
+    lists = lists or int(max(1, min(1024, n**0.5 / 2)))
+    probes = probes or max(8, -(-lists * 3 // 4))  # vectors without clusters need that many for a recall over 0.9
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
     codec = Codec(np.array([r.v for r in sample], np.float64), lists, m)
     shared = spark.sparkContext.broadcast(codec)  # at most 1024 centroids and m*256 codewords
@@ -157,7 +157,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, lists: int | None = None,
     size = F.broadcast(cut(size.where("blocks > 0 and turns > 0"), "lists"))  # a row a list
     codes = index.where("code is not null").join(size, "list").select("list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "vec_id", "code", F.lit(None).cast("array<double>").alias("v"))
     asks = index.where("code is null").join(size, "list").join(queries, "vec_id").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("vec_id"), F.col("turns")).cast("int").alias("turn"), "vec_id", F.lit(None).cast("binary").alias("code"), "v")
-    found = codes.union(asks).groupBy("list", "block", "turn").applyInArrow(_scan(shared, rerank), "query_id long, vec_id long, near double")
+    found = codes.union(asks).groupBy("list", "block", "turn").applyInArrow(_scan(shared, max(30, 3 * k)), "query_id long, vec_id long, near double")
     best = Window.partitionBy("query_id").orderBy("near", "vec_id")
     found = cut(found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= rerank).select("query_id", "vec_id"), "candidates")
     exact = found.join(rows, "vec_id").join(queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
