@@ -56,7 +56,7 @@ def dedup_lines(documents: DataFrame, sites: int = 3, carry: tuple[str, ...] = (
     all_ = F.split("text", "\n")
     kept = F.when(F.col("out").isNull(), F.col("text")).otherwise(F.array_join(F.filter(all_, lambda x, i: ~F.array_contains("out", i)), "\n"))
     n = F.size(F.filter(all_, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    joined = docs.join(maybe_broadcast(out, 100_000), "doc_id", "left")
+    joined = docs.join(out.hint("merge"), "doc_id", "left")  # by shuffle at every size: the lists grow with the texts
     return joined.select("doc_id", "text", "source", *carry, kept.alias("clean_text"), F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.coalesce(F.size("out"), F.lit(0)), F.lit(0)).cast("long").alias("n_removed"))
 
 
