@@ -10,7 +10,8 @@ Documents are sets of distinct k-word shingles. Two link when den * |A ∩ B| >=
    with one order of all tokens for all sets, two linked sets share at least r of their first
    n - ceil(num*n/den) + r tokens. The order puts common tokens last (counts of all tokens of all documents in
    2**bits counters; a shared counter changes only the order and never the result), then goes by hash.
-   Tokens of one document alone go before the matrix is joined.
+   Tokens of one document alone go before the matrix is joined; a very common token's rows are dealt over
+   tasks by document without looking for company (kept needlessly, a token only loosens a bound).
 4. A query meets the groups other than its own. Its tokens in a group's union, those before them that any other
    document shares and what follows them in the common order bound its overlap with any member, which must reach num/(num+den) of both sizes together; the group's
    smallest and largest sets bound the sizes. Only groups that pass are opened, in blocks again, and each pair's
@@ -32,6 +33,7 @@ from .common import U, as_long, cut, maybe_broadcast, mix, shingles, table, uniq
 from .graph import components
 
 BLOCK_DOCS, BLOCK_TOKENS, LEAST = 48, 60_000, 2
+HOT = 14  # a token's class is the bit length of its counter; from this one on its rows are dealt over tasks
 CHUNK = 1 << 12
 _SETS = "doc_id long, n long, h1 long, h2 long, k1 long, k2 long, chunk int, counts binary"
 
@@ -110,22 +112,27 @@ def _prefixes(k: int, bits: int, num: int, den: int, classes):
     return run
 
 
-def _shared_only(batches):
-    """Of rows sorted by token, those whose token has more than one row. State: one row."""
-    last = None
-    for b in batches:
-        t = pa.Table.from_batches([b] if last is None else [last, b]).combine_chunks()
-        x = t.column("token").to_numpy()
-        same = x[1:] == x[:-1]
-        keep = np.zeros(len(x), bool)
-        keep[1:] |= same
-        keep[:-1] |= same
-        if last is not None:
-            keep[0] &= not held
-        held = bool(same[-1]) if len(same) else (last is not None and held)
-        last = t.slice(len(x) - 1, 1).to_batches()[0]
-        keep_t = t.filter(pa.array(keep))
-        yield from keep_t.to_batches()
+def _shared_only(hot: int):
+    """Of rows sorted by token, those whose token has more than one row or a class from `hot` on. State: one row."""
+
+    def run(batches):
+        last, held = None, False
+        for b in batches:
+            t = pa.Table.from_batches([b] if last is None else [last, b]).combine_chunks()
+            x = t.column("token").to_numpy()
+            if not len(x):
+                continue
+            same = x[1:] == x[:-1]
+            keep = (x >> 57) >= hot
+            keep[1:] |= same
+            keep[:-1] |= same
+            kept = bool(keep[-1]) or (held and len(x) == 1)
+            if last is not None:
+                keep[0] &= not held
+            held, last = kept, t.slice(len(x) - 1, 1).to_batches()[0]
+            yield from t.filter(pa.array(keep)).to_batches()
+
+    return run
 
 
 def _verify(num: int, den: int):
@@ -211,7 +218,10 @@ def jaccard_classes(documents: DataFrame, k: int = 5, num: int = 80, den: int =
 
     reps = cut(sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("k1").alias("k1"), F.first("k2").alias("k2")), "reps")
     posting = docs.mapInArrow(_prefixes(k, bits, num, den, shared), "token long, doc_id long, n long, pos long")
-    posting = cut(posting.repartition("token").sortWithinPartitions("token").mapInArrow(_shared_only, "token long, doc_id long, n long, pos long"), "postings")
+    # a token far more common than a counter's usual load is shared for certain enough: its rows are dealt over tasks
+    hot = max(HOT, int(np.median(classes)) + 3)
+    deal = F.expr(f"pmod(xxhash64(doc_id), shiftleft(1L, greatest(0, cast(shiftrightunsigned(token, 57) as int) - {hot - 1})))")
+    posting = cut(posting.repartition("token", deal).sortWithinPartitions("token").mapInArrow(_shared_only(hot), "token long, doc_id long, n long, pos long"), "postings")
 
     # groups: verified links within blocks that share a minhash
     keys = reps.select("rep", "n", F.explode(F.array(F.xxhash64(F.lit(1), "k1"), F.xxhash64(F.lit(2), "k2"))).alias("key"))

@@ -45,10 +45,12 @@ def texts(corpus):
     return {i: t for i, t, *_ in corpus} | {0: None}  # min(text) of a repeated id: null sorts first
 
 
-def test_ngram_join_equals_brute_force(docs, corpus):
+def test_ngram_join_equals_brute_force(docs, corpus, monkeypatch):
+    from pitchline.llm import ngram_join
     from pitchline.llm.ngram_join import jaccard_classes
 
-    for k, num in ((4, 85), (3, 60)):
+    for k, num, hot in ((4, 85, 14), (3, 60, 14), (3, 60, 1)):
+        monkeypatch.setattr(ngram_join, "HOT", hot)  # 1: tokens whose counters hold 4 or more are dealt over tasks
         sets = {}
         for i, t in texts(corpus).items():
             w = W.findall((t or "").translate(LOWER))
@@ -64,6 +66,18 @@ def test_ngram_join_equals_brute_force(docs, corpus):
     assert jaccard_classes(docs.limit(0)).count() == 0
 
 
+def test_shared_tokens():
+    from pitchline.llm.ngram_join import _shared_only
+
+    rng = np.random.default_rng(1)
+    for hot in (0, 3, 14):
+        for _ in range(50):
+            x = np.sort((rng.integers(1, 6, rng.integers(0, 40)) << 57) | rng.integers(0, 8))
+            parts = np.split(x, np.sort(rng.integers(0, len(x) + 1, 4)))
+            got = [v for out in _shared_only(hot)(pa.record_batch({"token": pa.array(p, pa.int64())}) for p in parts) for v in out.column(0).to_pylist()]
+            assert got == [v for v in x.tolist() if (x == v).sum() > 1 or v >> 57 >= hot]
+
+
 def test_mixing_meets_targets(spark, docs, corpus):
     from pitchline.llm.mixing import mix_sources
 
