@@ -226,7 +226,7 @@ def jaccard_classes(documents: DataFrame, k: int = 5, num: int = 80, den: int =
     # groups: verified links within blocks that share a minhash
     keys = reps.select("rep", "n", F.explode(F.array(F.xxhash64(F.lit(1), "k1"), F.xxhash64(F.lit(2), "k2"))).alias("key"))
     hubs = cut(keys.groupBy("key").agg(F.count("*").alias("c"), F.sum("n").alias("total"), F.min("rep").alias("hub")).where("c > 1"), "hubs")
-    parts = F.ceil(F.greatest(F.col("c") / BLOCK_DOCS, F.col("total") / BLOCK_TOKENS)).cast("int")
+    parts = F.least(F.ceil(F.greatest(F.col("c") / BLOCK_DOCS, F.col("total") / BLOCK_TOKENS)), F.col("c") - 1).cast("int")
     members = keys.join(hubs, "key").withColumn("parts", parts)
     members = members.select(F.col("rep").alias("doc_id"), "key", F.explode(F.when(F.col("rep") == F.col("hub"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")))).alias("part"))
     first = cut(_links(docs, members.select(F.xxhash64("key", "part").alias("block"), "doc_id"), k, num, den), "links")
@@ -252,7 +252,7 @@ def jaccard_classes(documents: DataFrame, k: int = 5, num: int = 80, den: int =
     bound = F.when(F.col("s2") == 1, F.col("overlap") + F.least(F.col("n") - F.col("j"), F.col("after"))).otherwise(1 + F.least(F.col("n") - F.col("i"), F.col("most")))
     opened = cut(met.where((F.col("overlap") >= least) & enough(bound)).select("doc_id", "g2"), "opened")
 
-    hosts = cut(opened.groupBy("g2").agg(F.count("*").alias("asks")).join(sized.withColumnRenamed("g", "g2"), "g2").select("g2", F.ceil(F.greatest(F.col("size") / BLOCK_DOCS, F.col("total") / BLOCK_TOKENS)).cast("int").alias("chunks"), F.ceil(F.col("asks") / BLOCK_DOCS).cast("int").alias("turns")), "hosts")
+    hosts = cut(opened.groupBy("g2").agg(F.count("*").alias("asks")).join(sized.withColumnRenamed("g", "g2"), "g2").select("g2", F.least(F.ceil(F.greatest(F.col("size") / BLOCK_DOCS, F.col("total") / BLOCK_TOKENS)), F.col("size")).cast("int").alias("chunks"), F.ceil(F.col("asks") / BLOCK_DOCS).cast("int").alias("turns")), "hosts")
     queries = opened.join(hosts, "g2").select("g2", "doc_id", F.pmod(F.xxhash64("doc_id"), F.col("turns")).cast("int").alias("turn"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
     held = group.withColumnRenamed("g", "g2").join(hosts, "g2").select("g2", F.col("id").alias("doc_id"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"))
     blocks = queries.select("g2", "turn", "chunk", "doc_id").union(held.select("g2", "turn", "chunk", "doc_id"))
