@@ -16,7 +16,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-SLICE = 1 << 21
+SLICE = 1 << 20
 U = np.uint64
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * U(2) + U(1)

@@ -46,7 +46,7 @@ def _summaries(k: int, bits: int):
         held, n_held = [], 0
 
         def count():
-            counts[:] += np.bincount((np.concatenate(held) >> U(64 - bits)).astype(np.int64), minlength=1 << bits).astype(np.uint32)
+            np.add.at(counts, np.concatenate(held) >> U(64 - bits), np.uint32(1))
             held.clear()
 
         for b in batches:
@@ -59,7 +59,7 @@ def _summaries(k: int, bits: int):
                     rows.append((doc, 0, 0, 0, 0, 0))
                 held.append(x)
                 n_held += len(x)
-                if n_held > 2_000_000:
+                if n_held > 500_000:
                     count()
                     n_held = 0
             if rows:

@@ -18,7 +18,7 @@ import pyarrow as pa
 
 from .common import _BYTE, U, _powers, mix, slices, text_buffers
 
-WORDS, LONG, SLICE = 400_000, 64, 1 << 22
+WORDS, LONG, SLICE = 400_000, 64, 1 << 21
 #: Fixed value: the pattern of the vocabularies whose split is done here.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
