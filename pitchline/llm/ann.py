@@ -2,10 +2,11 @@
 
 Fit: coarse centroids and the residuals' codebooks come from a sample of at most SAMPLE vectors (those with the smallest
 id hashes), on the driver; their sizes are parameters. Index: every vector gets its nearest list and m code
-bytes. Search: a query probes its nearest lists; a list's codes are dealt over blocks of about BLOCK codes and its
+bytes, and the distance between it and what they stand for is kept. Search: a query probes its nearest lists; a list's codes are dealt over blocks of about BLOCK codes and its
 queries over blocks of QUERIES, and each pair of blocks is one group: asymmetric distances come from a table of the query's
-distances to all codewords. Each group gives its best codes, and the best `rerank` of each query over all groups are reranked by exact distance in
-double precision on the original vectors. A list, however large, is never in one task.
+distances to all codewords. In each group the best `rerank` codes of a query are reranked by exact distance in double precision on
+the original vectors, and so is every other code that its distance less its own quantisation error does not put behind the k-th of
+them; so nothing is lost within the probed lists, however many near copies share a code. A list, however large, is never in one task.
 """
 
 from __future__ import annotations
@@ -57,11 +58,14 @@ class Codec:
     def pad(self, x: np.ndarray) -> np.ndarray:
         return np.pad(x.astype(np.float32), ((0, 0), (0, self.wide - x.shape[1])))
 
-    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(list, code, distance between the vector and what the two stand for) of each vector."""
         x = self.pad(x)
         at = _nearest(x, self.coarse)
         rest = (x - self.coarse[at]).reshape(len(x), self.m, -1)
-        return at, np.stack([_nearest(rest[:, i], self.books[i]) for i in range(self.m)], 1).astype(np.uint8)
+        code = np.stack([_nearest(rest[:, i], self.books[i]) for i in range(self.m)], 1)
+        miss = sum(((rest[:, i] - self.books[i][code[:, i]]) ** 2).sum(1) for i in range(self.m))
+        return at, code.astype(np.uint8), np.sqrt(miss)
 
     def tables(self, q: np.ndarray, at: int) -> np.ndarray:
         """(queries, m, codewords): squared distances of the queries' residuals in list `at` to all codewords."""
@@ -74,50 +78,61 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
 
 
 def _encode(codec, probes: int):
-    """Rows (list, vec_id, code): code null for a query, once for each list that it probes."""
+    """Rows (list, vec_id, code, miss, v): the last three null for a query, once for each list that it probes."""
 
     def run(batches):
         c = codec.value
         for b in batches:
             x = _matrix(b.column("v"), c.dim)
             ids, ask = b.column("vec_id"), b.column("ask").to_numpy(zero_copy_only=False)
-            at, code = c.encode(x)
-            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), ids, pa.array([r.tobytes() for r in code], pa.binary())], names=["list", "vec_id", "code"])
+            at, code, miss = c.encode(x)
+            names = ["list", "vec_id", "code", "miss", "v"]
+            yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), ids, pa.array([r.tobytes() for r in code], pa.binary()), pa.array(miss, pa.float32()), b.column("v")], names=names)
             who = np.flatnonzero(ask)
             if len(who):
                 near = _nearest(c.pad(x[who]), c.coarse, min(probes, len(c.coarse))).reshape(len(who), -1)
                 qid = np.repeat(ids.to_numpy()[who], near.shape[1])
-                yield pa.RecordBatch.from_arrays([pa.array(near.ravel(), pa.int32()), pa.array(qid), pa.nulls(len(qid), pa.binary())], names=["list", "vec_id", "code"])
+                yield pa.RecordBatch.from_arrays([pa.array(near.ravel(), pa.int32()), pa.array(qid), pa.nulls(len(qid), pa.binary()), pa.nulls(len(qid), pa.float32()), pa.nulls(len(qid), b.column("v").type)], names=names)
 
     return run
 
 
-def _scan(codec, keep: int):
+def _scan(codec, k: int, rerank: int):
+    """(query_id, vec_id, score): the k nearest of the group's vectors to each of its queries, by exact distance."""
+
     def run(t: pa.Table) -> pa.Table:
         c = codec.value
         isq = t.column("code").is_null().to_numpy()
-        none = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "near": pa.array([], pa.float64())})
+        none = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         q, v = t.filter(pa.array(isq)), t.filter(pa.array(~isq))
         if not len(q) or not len(v):
             return none
         ids = v.column("vec_id").to_numpy()
-        order = np.argsort(ids)
-        ids = ids[order]
-        code = np.frombuffer(b"".join(v.column("code").to_pylist()), np.uint8).reshape(-1, c.m)[order]
+        code = np.frombuffer(b"".join(v.column("code").to_pylist()), np.uint8).reshape(-1, c.m)
+        miss, x = v.column("miss").to_numpy(), _matrix(v.column("v"), c.dim)
         qid, qv = q.column("vec_id").to_numpy(), _matrix(q.column("v"), c.dim)
+        first = min(max(rerank, k) + 1, len(ids))  # one more, as the query itself may be among them
         out = []
         for i in range(0, len(qid), 32):
             tab = c.tables(qv[i : i + 32], t.column("list")[0].as_py())
-            d = sum(tab[:, s, code[:, s]] for s in range(c.m))
-            for j, row in enumerate(d):
-                row = np.where(ids == qid[i + j], np.inf, row)
-                k = min(keep, len(row))
-                at = np.flatnonzero(row <= np.partition(row, k - 1)[k - 1])
-                at = at[np.lexsort((ids[at], row[at]))][:k]
-                at = at[np.isfinite(row[at])]
-                out.append((np.full(len(at), qid[i + j]), ids[at], row[at].astype(np.float64)))
+            d = np.sqrt(sum(tab[:, s, code[:, s]] for s in range(c.m)))
+            for j, near in enumerate(d):
+                y = qv[i + j]
+                exact = lambda at: np.sqrt(((x[at] - y) ** 2).sum(1))
+                at = np.argpartition(near, first - 1)[:first]
+                at = at[ids[at] != qid[i + j]]
+                score = exact(at)
+                if first < len(ids):
+                    last = np.partition(score, k - 1)[k - 1]
+                    slack = 1e-5 * (near + miss + np.sqrt((y * y).sum()))  # near and miss are in single precision
+                    more = ~(near - miss - slack > last) & (ids != qid[i + j])
+                    more[at] = False
+                    more = np.flatnonzero(more)
+                    at, score = np.concatenate([at, more]), np.concatenate([score, exact(more)])
+                best = np.lexsort((ids[at], score))[:k]
+                out.append((np.full(len(best), qid[i + j]), ids[at[best]], score[best]))
         a, b, d = (np.concatenate(x) for x in zip(*out))
-        return pa.table({"query_id": a, "vec_id": b, "near": d})
+        return pa.table({"query_id": a, "vec_id": b, "score": d})
 
     return run
 
@@ -138,6 +153,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 def search(vectors: DataFrame, is_query, k: int = 10, lists: int | None = None, probes: int | None = None, m: int = M, rerank: int = RERANK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found to each row for which the condition is_query holds.
 
+    `rerank` is how many codes of a query and block are compared exactly at once, before the error bound decides on the others.
     A query is never its own neighbour; ties go to smaller ids. Rows that `usable` refuses neither ask nor answer. An empty table gives no
     rows; extra columns are not read.
     """
@@ -152,19 +168,14 @@ def search(vectors: DataFrame, is_query, k: int = 10, lists: int | None = None,
     codec = Codec(np.array([r.v for r in sample], np.float64), lists, m)
     shared = spark.sparkContext.broadcast(codec)  # at most 1024 centroids and m*256 codewords
     queries = rows.where(is_query).select("vec_id", "v")
-    index = cut(rows.withColumn("ask", is_query).mapInArrow(_encode(shared, probes), "list int, vec_id long, code binary"), "index")
+    index = cut(rows.withColumn("ask", is_query).mapInArrow(_encode(shared, probes), "list int, vec_id long, code binary, miss float, v array<double>"), "index")
     size = index.groupBy("list").agg(F.ceil(F.count("code") / BLOCK).cast("int").alias("blocks"), F.ceil(F.sum(F.col("code").isNull().cast("int")) / QUERIES).cast("int").alias("turns"))
     size = F.broadcast(cut(size.where("blocks > 0 and turns > 0"), "lists"))  # a row a list
-    codes = index.where("code is not null").join(size, "list").select("list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "vec_id", "code", F.lit(None).cast("array<double>").alias("v"))
-    asks = index.where("code is null").join(size, "list").join(queries, "vec_id").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("vec_id"), F.col("turns")).cast("int").alias("turn"), "vec_id", F.lit(None).cast("binary").alias("code"), "v")
-    found = codes.union(asks).groupBy("list", "block", "turn").applyInArrow(_scan(shared, max(30, 3 * k)), "query_id long, vec_id long, near double")
-    best = Window.partitionBy("query_id").orderBy("near", "vec_id")
-    found = cut(found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= rerank).select("query_id", "vec_id"), "candidates")
-    exact = found.join(rows, "vec_id").join(queries.select(F.col("vec_id").alias("query_id"), F.col("v").alias("q")), "query_id")
-    score = F.sqrt(F.aggregate(F.zip_with("v", "q", lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x))
-    last = Window.partitionBy("query_id").orderBy("score", "vec_id")
-    exact = exact.select("query_id", "vec_id", score.alias("score")).withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k)
-    return exact.select("query_id", "rank", "vec_id", "score")
+    codes = index.where("code is not null").join(size, "list").select("list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "vec_id", "code", "miss", "v")
+    asks = index.where("code is null").drop("v").join(size, "list").join(queries, "vec_id").select("list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("vec_id"), F.col("turns")).cast("int").alias("turn"), "vec_id", F.lit(None).cast("binary").alias("code"), F.lit(None).cast("float").alias("miss"), "v")
+    found = codes.union(asks).groupBy("list", "block", "turn").applyInArrow(_scan(shared, k, rerank), "query_id long, vec_id long, score double")
+    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def op5_ivfpq(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -259,6 +259,26 @@ def test_nearest_neighbours(spark):
     assert search(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_nearest_neighbours_in_large_groups_of_near_copies(spark):
+    from pitchline.llm.ann import search
+
+    rng = np.random.default_rng(3)
+    unit = lambda z: z / np.linalg.norm(z, axis=1, keepdims=True)
+    group = np.repeat(np.arange(24), [50] * 20 + [200] * 2 + [1000] * 2)
+    x = unit(rng.normal(size=(24, 64)))[group]
+    x = np.concatenate([x + rng.normal(size=x.shape) * 0.03 / 64**0.5, unit(rng.normal(size=(4000, 64)))])
+    x = x[rng.permutation(len(x))]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in search(df, F.col("vec_id") % 100 == 0, lists=8, probes=8).orderBy("query_id", "rank").collect():
+        got[r.query_id].append(r.vec_id)
+    assert sorted(got) == list(range(0, len(x), 100))
+    for q, found in got.items():
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        d[q] = np.inf
+        assert found == np.argsort(d)[:10].tolist()
+
+
 def test_toxicity(spark):
     from pitchline.llm.toxicity import HIDDEN, Net, _sigmoid, score_documents, train
 
