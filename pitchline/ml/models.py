@@ -83,14 +83,19 @@ def cross_validate(df: DataFrame, features: list[str], label: str = "label", alg
 def select(df: DataFrame, test: DataFrame, features: list[str], label: str = "label", algorithms=None, metric: str = "f1", path: str | None = None, seed: int = 42):
     """(best Training, ranking, metrics by model); a model that fails is left out, none left is an error."""
     results, trained, failures = {}, {}, {}
-    for a in algorithms or list(REGISTRY):
-        try:
-            trained[a] = train(df, features, label, a, seed=seed)
-            scored = predict(trained[a], test).withColumn("_p", F.col("probabilities")[1])
-            results[a] = E.evaluate(scored, label, "prediction", "_p")
-        except Exception as e:
-            failures[a] = str(e)
-            trained.pop(a, None)
+    df, test = df.cache(), test.cache()  # each model reads them many times
+    try:
+        for a in algorithms or list(REGISTRY):
+            try:
+                trained[a] = train(df, features, label, a, seed=seed)
+                scored = predict(trained[a], test).withColumn("_p", F.col("probabilities")[1])
+                results[a] = E.evaluate(scored, label, "prediction", "_p")
+            except Exception as e:
+                failures[a] = str(e)
+                trained.pop(a, None)
+    finally:
+        df.unpersist()
+        test.unpersist()
     if not results:
         raise NoModelsTrainedError(json.dumps(failures))
     ranking = E.rank(results, metric)

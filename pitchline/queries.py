@@ -273,6 +273,6 @@ def _select(spark, d):
     from .ml import models as M
 
     split = D.split_chronological(_features(spark, d))
-    best, ranking, _ = M.select(split.where("split = 'train'"), split.where("split = 'validation'"), _X, algorithms=["logistic_regression", "decision_tree"])
+    best, ranking, _ = M.select(split.where("split = 'train'"), split.where("split = 'validation'"), _X)
     return M.predict(best, split.where("split = 'test'")).select(SEQ, "prediction", "confidence", F.lit(ranking[0][0]).alias("model"))
 

@@ -164,3 +164,15 @@ def test_registered_queries_match_sql(spark):
         assert sorted(got.columns) == sorted(cols)
         rows = lambda xs: sorted([tuple(round(v, 6) if isinstance(v, float) else v for v in x) for x in xs], key=str)
         assert rows(got.select(*[f"`{c}`" for c in cols]).collect()) == rows(r.fetchall())
+
+
+def test_registered_selection_trains_every_model(spark, monkeypatch):
+    from pitchline.ml import models as M
+    from pitchline.queries import QUERIES
+
+    seen, select = [], M.select
+    monkeypatch.setattr(M, "select", lambda *a, **b: seen.append(select(*a, **b)) or seen[-1])
+    rows = QUERIES["ml_select_predict"](spark, "/root/testdata/sf0.001")
+    best, ranking, results = seen[0]
+    assert set(results) == set(M.REGISTRY) and {r[0] for r in ranking} == set(M.REGISTRY)
+    assert best.algorithm == ranking[0][0] and [r.model for r in rows.select("model").distinct().collect()] == [best.algorithm]
