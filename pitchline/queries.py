@@ -141,6 +141,9 @@ _DAY, _NEW = "1998-01-01", 'ORDER BY "Date" DESC, match_seq DESC'
 query("hist_get_matches", f"""WITH {_M} SELECT {_ROW} FROM m WHERE {_OF("TEAM_3")} AND "Date" >= TIMESTAMP '1996-01-01' AND "Date" <= TIMESTAMP '1997-12-31' AND "Date" < TIMESTAMP '1997-06-01' ORDER BY "Date", match_seq LIMIT 200""")(
     lambda spark, d: H.get_matches(matches(spark, d), team="TEAM_3", start="1996-01-01", end="1997-12-31", before="1997-06-01", limit=200, league="none")
 )
+query("hist_get_matches_all", f"""WITH {_M} SELECT {_ROW} FROM m WHERE {_OF("TEAM_3")} AND "Date" >= TIMESTAMP '1996-01-01' AND "Date" <= TIMESTAMP '1997-12-31' AND "Date" < TIMESTAMP '1997-06-01' ORDER BY "Date", match_seq""")(
+    lambda spark, d: H.get_matches(matches(spark, d), team="TEAM_3", start="1996-01-01", end="1997-12-31", before="1997-06-01", league="none")
+)
 query("hist_matches_on_date", f"""WITH {_M} SELECT {_ROW} FROM m WHERE "Date" = TIMESTAMP '1996-01-02'""")(lambda spark, d: H.get_matches(matches(spark, d), date="1996-01-02", before="1990-01-01"))
 for _v, _w in (("matches", _OF("TEAM_7")), ("home", "\"HomeTeam\" = 'TEAM_7'"), ("away", "\"AwayTeam\" = 'TEAM_7'")):
     query(f"hist_last_{_v}", f"WITH {_M} SELECT {_ROW} FROM m WHERE {_w} AND \"Date\" < TIMESTAMP '{_DAY}' {_NEW} LIMIT 5")(

@@ -176,3 +176,18 @@ def test_registered_selection_trains_every_model(spark, monkeypatch):
     best, ranking, results = seen[0]
     assert set(results) == set(M.REGISTRY) and {r[0] for r in ranking} == set(M.REGISTRY)
     assert best.algorithm == ranking[0][0] and [r.model for r in rows.select("model").distinct().collect()] == [best.algorithm]
+
+
+def test_registered_lookup_without_limit_matches_sql(spark):
+    import duckdb
+
+    from pitchline.queries import QUERIES, SQL
+
+    d = "/root/testdata/sf0.1"
+    con = duckdb.connect()
+    for t in ("orders", "customer"):
+        con.execute(f"create view {t} as select * from '{d}/{t}.parquet'")
+    want = [r[0] for r in con.execute(SQL["hist_get_matches_all"]).fetchall()]
+    got = [r.match_seq for r in QUERIES["hist_get_matches_all"](spark, d).collect()]
+    assert got == want and len(got) > 200
+    assert [r.match_seq for r in QUERIES["hist_get_matches"](spark, d).collect()] == got[:200]
