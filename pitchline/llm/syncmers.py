@@ -3,9 +3,9 @@
 Units are a text's words and, for texts of up to SHORT code points, its characters. A k-mer is k consecutive units; it is
 a closed syncmer if the smallest hash among the s-mers within it is that of its first or its last one. Whether a
 k-mer is chosen depends on the k-mer alone, so equal stretches of two texts carry the same anchors wherever they stand.
-A fingerprint keeps the `size` smallest hashes of a text's anchors (a text with fewer units than k, or without an
-anchor, has its whole sequence as the one anchor). Likeness estimates the Jaccard index of two anchor sets: the share, among
-the `size` smallest hashes of both, of those that are in both; on characters where both texts have them, else on words.
+A fingerprint keeps the hashes of all of a text's anchors, so it grows with the text (one with fewer units than k, or without an
+anchor, has its whole sequence as the one anchor). Likeness is the Jaccard index of two anchor sets, on characters where
+both texts have them, else on words. Positions are in anchors().
 
 Everything is a projection, but for three joins by id: each document meets the head of its successor's text and its
 successor's fingerprint; the order of ids is found on ids alone.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .common import cut, position, table, unique_documents
 
-SHORT, SIZE = 400, 64
+SHORT = 400
 K, S = 5, 2  # words
 CK, CS = 8, 3  # characters
 _GAP = r"[\x20\x09-\x0D]+"
@@ -57,7 +57,7 @@ def words_expr(text: Column) -> Column:
 
 
 def with_sketch(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds name_w and name_c: sorted arrays of the smallest anchor hashes, by word and (short texts) by character.
+    """Adds name_w and name_c: sorted arrays of the distinct anchor hashes, by word and (short texts) by character.
 
     Each intermediate array is a column of its own projection, so none is computed twice.
     """
@@ -66,11 +66,11 @@ def with_sketch(df: DataFrame, text: str, name: str) -> DataFrame:
     for units, k, s, out in ((words_expr(F.col(text)), K, S, w), (F.when(short, F.filter(F.split(F.col(text), ""), lambda x: x != "")), CK, CS, c)):
         df = df.withColumn("_u", F.transform(units, lambda x: F.xxhash64(x)))
         df = df.withColumn("_s", _windows(F.col("_u"), s))
-        df = df.withColumn(out, _smallest(F.col("_u"), F.col("_s"), k, s)).drop("_u", "_s")
+        df = df.withColumn(out, _distinct(F.col("_u"), F.col("_s"), k, s)).drop("_u", "_s")
     return df
 
 
-def _smallest(h: Column, smers: Column, k: int, s: int) -> Column:
+def _distinct(h: Column, smers: Column, k: int, s: int) -> Column:
     inner = k - s + 1
 
     def kmer(i):
@@ -78,7 +78,7 @@ def _smallest(h: Column, smers: Column, k: int, s: int) -> Column:
         return F.when(F.least(at[0], at[-1]) <= F.least(*at), F.xxhash64(*[F.get(h, i + j) for j in range(k)]))
 
     found = F.filter(F.transform(F.sequence(F.lit(0), F.size(h) - k), kmer), lambda x: x.isNotNull())
-    best = F.slice(F.sort_array(F.array_distinct(found)), 1, SIZE)
+    best = F.sort_array(F.array_distinct(found))
     whole = F.array(F.xxhash64(h))
     many = F.when(F.size(best) > 0, best).otherwise(whole)
     return F.when(F.size(h) >= k, many).when(F.size(h) > 0, whole).when(F.size(h) == 0, F.slice(whole, 1, 0))
@@ -91,9 +91,8 @@ def fingerprint_expr(w: Column, c: Column) -> Column:
 
 
 def _jaccard(a: Column, b: Column) -> Column:
-    both = F.slice(F.sort_array(F.array_union(a, b)), 1, SIZE)
-    inside = F.size(F.array_intersect(F.array_intersect(a, b), both))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when(F.size(both) == 0, 0.0).otherwise(inside / F.greatest(F.size(both), F.lit(1)))
+    both, inside = F.size(F.array_union(a, b)), F.size(F.array_intersect(a, b))
+    return F.when(both == 0, 1.0).otherwise(inside / F.greatest(both, F.lit(1)))
 
 
 def likeness(aw: Column, ac: Column, bw: Column, bc: Column) -> Column:

@@ -206,6 +206,24 @@ def test_syncmers(docs, corpus):
     assert fingerprints(docs.limit(0)).count() == 0
 
 
+def test_syncmers_keep_all_anchors_of_long_texts(spark):
+    from pitchline.llm.syncmers import anchors, fingerprints
+
+    rng = random.Random(9)
+    a = [f"w{rng.randrange(10**6)}" for _ in range(800)]
+    b = [f"v{rng.randrange(10**6)}" for _ in range(800)]
+    b[300:340] = a[100:140]
+    df = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b))], "doc_id long, text string")
+    rows = {r.doc_id: r for r in fingerprints(df).collect()}
+    n = {r.doc_id: len({x["hash"] for x in r.anchors}) for r in anchors(df).collect()}
+    sets = {i: {r.fingerprint[j : j + 16] for j in range(0, len(r.fingerprint), 16)} for i, r in rows.items()}
+    assert {i: len(x) for i, x in sets.items()} == n and min(n.values()) > 300
+    both = sets[1] & sets[2]
+    assert len(both) >= 8 and rows[1].near_next == pytest.approx(len(both) / len(sets[1] | sets[2]))
+    edited = {rows[1].edited_fingerprint[j : j + 16] for j in range(0, len(rows[1].edited_fingerprint), 16)}
+    assert rows[1].near_edited == pytest.approx(len(sets[1] & edited) / len(sets[1] | edited))
+
+
 def test_line_dedup(spark, docs, corpus):
     from pitchline.llm.line_dedup import dedup_lines
 
