@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, lean, table
 
 SAMPLE, BLOCK, QUERIES, RERANK, M = 20_000, 8192, 256, 400, 16
 
@@ -168,7 +168,7 @@ def search(vectors: DataFrame, is_query, k: int = 10, lists: int | None = None,
     codec = Codec(np.array([r.v for r in sample], np.float64), lists, m)
     shared = spark.sparkContext.broadcast(codec)  # at most 1024 centroids and m*256 codewords
     queries = rows.where(is_query).select("vec_id", "v")
-    index = cut(rows.withColumn("ask", is_query).mapInArrow(_encode(shared, probes), "list int, vec_id long, code binary, miss float, v array<double>"), "index")
+    index = cut(rows.withColumn("ask", is_query).mapInArrow(lean(_encode(shared, probes)), "list int, vec_id long, code binary, miss float, v array<double>"), "index")
     size = index.groupBy("list").agg(F.ceil(F.count("code") / BLOCK).cast("int").alias("blocks"), F.ceil(F.sum(F.col("code").isNull().cast("int")) / QUERIES).cast("int").alias("turns"))
     size = F.broadcast(cut(size.where("blocks > 0 and turns > 0"), "lists"))  # a row a list
     codes = index.where("code is not null").join(size, "list").select("list", F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("turns") - 1)).alias("turn"), "vec_id", "code", "miss", "v")

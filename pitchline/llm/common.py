@@ -7,6 +7,7 @@ about SLICE bytes, so a Python worker's memory follows the longest single text a
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
@@ -31,9 +32,11 @@ _POW: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 # ---------------------------------------------------------------- shared folder
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new path below spark.checkpoint.dir; where that is unset (tests), a folder of our own becomes it."""
+    """A new path below spark.checkpoint.dir; where that is unset and Spark runs on this machine alone (tests), a folder of our own becomes it."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="pitchline-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -117,6 +120,35 @@ def position(rows: DataFrame, *order) -> DataFrame:
     return laid.withColumn("position", first + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id", "_part")
 
 
+# ---------------------------------------------------------------- memory of Python workers
+def settle() -> None:
+    """From now on, arrays of 4 MB and more go back to the system as soon as they are freed."""
+    c = ctypes.CDLL(None)
+    if hasattr(c, "mallopt"):
+        c.mallopt(-3, 1 << 22)  # M_MMAP_THRESHOLD
+
+
+def release() -> None:
+    """Give back what numpy and Arrow have freed: workers are kept for later tasks, and their memory beside the JVM's with them."""
+    pa.default_memory_pool().release_unused()
+    c = ctypes.CDLL(None)
+    if hasattr(c, "malloc_trim"):
+        c.malloc_trim(0)
+
+
+def lean(run):
+    """A function of batches for mapInArrow that releases memory at the end of its task."""
+
+    def tidy(batches):
+        settle()
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return tidy
+
+
 # ---------------------------------------------------------------- numpy text kernels
 def mix(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser."""

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U, cut, mix, maybe_broadcast, slices, table, text_buffers, unique_documents, word_hashes, word_spans
+from .common import U, cut, lean, mix, maybe_broadcast, slices, table, text_buffers, unique_documents, word_hashes, word_spans
 
 BITS, SEED, FRACTION, EFFECTIVE = 16, 11, 0.75, 100
 _BINS = 4096
@@ -66,7 +66,7 @@ def _sum(batches):
 
 def gram_model(texts: DataFrame, bits: int = BITS) -> np.ndarray:
     """Counts by bucket over all rows of column text; partial counts are streamed together, 2**bits numbers each."""
-    part = cut(texts.select("text").mapInArrow(_count(bits), "counts binary"), "grams")
+    part = cut(texts.select("text").mapInArrow(lean(_count(bits)), "counts binary"), "grams")
     groups = max(1, min(64, part.count() // 32))
     rows = part.repartition(groups).mapInArrow(_sum, "counts binary").collect()  # at most 64 rows of fixed size
     return sum((np.frombuffer(r.counts, np.int64) for r in rows), np.zeros(1 << bits, np.int64))
@@ -135,7 +135,7 @@ def resample(documents: DataFrame, target: DataFrame, fraction: float = FRACTION
     p_raw, p_aim = (raw + 1) / (raw.sum() + len(raw)), (aim + 1) / (aim.sum() + len(aim))
     ratio = np.log(p_aim) - np.log(p_raw) if aim.sum() else np.zeros(len(raw))
     shared = spark.sparkContext.broadcast(ratio.tobytes())  # 2**bits numbers, whatever the input
-    scored = docs.mapInArrow(_score(shared, bits, effective), "doc_id long, log_weight double")
+    scored = docs.mapInArrow(lean(_score(shared, bits, effective)), "doc_id long, log_weight double")
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11).cast("double") + 0.5) / float(2**53)
     scored = cut(scored.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(u))), "weights")
     at = largest(scored, "gumbel_key", "doc_id", round(fraction * scored.count()))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U, as_long, cut, maybe_broadcast, mix, shingles, table, unique_documents
+from .common import U, as_long, cut, lean, maybe_broadcast, mix, shingles, table, unique_documents
 from .graph import components
 
 BLOCK_DOCS, BLOCK_TOKENS, LEAST = 48, 60_000, 2
@@ -196,7 +196,7 @@ def _tokens(k: int):
 def _links(docs: DataFrame, members: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Verified links (u, v) within each block of members (block, doc_id)."""
     per_doc = cut(members.groupBy("doc_id").agg(F.collect_set("block").alias("blocks")), "members")
-    rows = docs.join(maybe_broadcast(per_doc), "doc_id").select("doc_id", "text", "blocks").mapInArrow(_tokens(k), "block long, doc_id long, toks binary")
+    rows = docs.join(maybe_broadcast(per_doc), "doc_id").select("doc_id", "text", "blocks").mapInArrow(lean(_tokens(k)), "block long, doc_id long, toks binary")
     return rows.groupBy("block").applyInArrow(_verify(num, den), "u long, v long")
 
 
@@ -208,16 +208,16 @@ def jaccard_classes(documents: DataFrame, k: int = 5, num: int = 80, den: int =
     """
     spark = documents.sparkSession
     docs = unique_documents(documents, "text")
-    found = cut(docs.mapInArrow(_summaries(k, bits), _SETS), "sets")
+    found = cut(docs.mapInArrow(lean(_summaries(k, bits)), _SETS), "sets")
     sets = found.where("chunk is null").select("doc_id", "n", "h1", "h2", "k1", "k2")
-    merged = found.where("chunk is not null").select("chunk", "counts").repartition(64, "chunk").mapInArrow(_merge_counts, "chunk int, classes binary").collect()
+    merged = found.where("chunk is not null").select("chunk", "counts").repartition(64, "chunk").mapInArrow(lean(_merge_counts), "chunk int, classes binary").collect()
     classes = np.zeros(1 << bits, np.uint8)  # fixed size: one byte a counter
     for r in merged:
         classes[r.chunk * CHUNK :][: len(r.classes)] = np.frombuffer(r.classes, np.uint8)
     shared = spark.sparkContext.broadcast(classes.tobytes())
 
     reps = cut(sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("rep"), F.first("k1").alias("k1"), F.first("k2").alias("k2")), "reps")
-    posting = docs.mapInArrow(_prefixes(k, bits, num, den, shared), "token long, doc_id long, n long, pos long")
+    posting = docs.mapInArrow(lean(_prefixes(k, bits, num, den, shared)), "token long, doc_id long, n long, pos long")
     # a token far more common than a counter's usual load is shared for certain enough: its rows are dealt over tasks
     hot = max(HOT, int(np.median(classes)) + 3)
     deal = F.expr(f"pmod(xxhash64(doc_id), shiftleft(1L, greatest(0, cast(shiftrightunsigned(token, 57) as int) - {hot - 1})))")

@@ -21,15 +21,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import cut, rank_in_class, table, unique_documents
-from .tokens import Encoder
+from .common import cut, lean, rank_in_class, table, unique_documents
+from .tokens import encoder
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 def _cut_pieces(path: str | None, capacity: int, end_id: int):
     def run(batches):
-        enc = Encoder(path)
+        enc = encoder(path)
         for b in batches:
             rows = []
             for doc, ids in zip(b.column(0).to_pylist(), enc.column(b.column(1))):
@@ -113,7 +113,7 @@ def pack_documents(documents: DataFrame, capacity: int = 4096, end_id: int = 1,
     An empty table gives no rows; extra columns are not read.
     """
     docs = documents.select("doc_id", "text").where("doc_id is not null") if repeats else unique_documents(documents, "text")
-    pieces = cut(docs.mapInArrow(_cut_pieces(path, capacity, end_id), _PIECES), "pieces")
+    pieces = cut(docs.mapInArrow(lean(_cut_pieces(path, capacity, end_id)), _PIECES), "pieces")
     order = ["doc_id", "piece"]
     if repeats:
         nth = F.row_number().over(Window.partitionBy("doc_id", "piece").orderBy("length", "ids_crc32")) - 1
@@ -125,7 +125,7 @@ def packed_ids(documents: DataFrame, packed: DataFrame, capacity: int = 4096, en
     """The sequences themselves: (sequence_id, ids array<int>), each made of its pieces' ids in order of offset."""
 
     def run(batches):
-        enc = Encoder(path)
+        enc = encoder(path)
         for b in batches:
             out = []
             for ids, start, length in zip(enc.column(b.column(1)), b.column("start").to_pylist(), b.column("length").to_pylist()):

@@ -20,8 +20,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U, as_long, cut, mix, open_fs, shared_dir, table, unique_documents, write_file
-from .tokens import Encoder
+from .common import U, as_long, cut, lean, mix, open_fs, shared_dir, table, unique_documents, write_file
+from .tokens import encoder
 
 SHARD_CHARS, BUCKET_KEYS, GAMMA = 32_000_000, 20_000, 1.5
 SLOT = np.dtype([("finger", "<u4"), ("shard", "<u4"), ("offset", "<u8"), ("count", "<u8")])
@@ -87,7 +87,7 @@ def _write_shard(path: str, tokenizer: str | None, end_id: int, buckets: int):
     """One partition, sorted by doc_id, becomes one shard; rows tell each document's place in it."""
 
     def run(batches):
-        enc, ctx = Encoder(tokenizer), TaskContext.get()
+        enc, ctx = encoder(tokenizer), TaskContext.get()
         shard, end, places = ctx.partitionId(), np.array([end_id], enc.dtype).tobytes(), []
 
         def payload():
@@ -132,13 +132,13 @@ def write_token_files(documents: DataFrame, path: str, end_id: int = 2, tokenize
     size = docs.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("c")).first()
     shards, buckets = max(1, -(-(size.c or 0) // SHARD_CHARS)), max(1, -(-size.n // BUCKET_KEYS))
     ordered = docs.repartitionByRange(max(shards, min(spark.sparkContext.defaultParallelism, size.n or 1)), "doc_id").sortWithinPartitions("doc_id")
-    places = cut(ordered.mapInArrow(_write_shard(path, tokenizer, end_id, buckets), "doc_id long, shard int, offset long, n long, bucket int"), "places")
+    places = cut(ordered.mapInArrow(lean(_write_shard(path, tokenizer, end_id, buckets)), "doc_id long, shard int, offset long, n long, bucket int"), "places")
     places.groupBy("bucket").applyInArrow(_write_bucket(path), "bucket int, keys long").agg(F.count("*"), F.sum("keys")).first()
     totals = [(r.shard, r.n) for r in places.groupBy("shard").agg(F.sum("n").alias("n")).orderBy("shard").collect()]  # a row a shard
     starts, at = {}, 0
     for s, n in totals:
         starts[s], at = at, at + n
-    meta = {"itemsize": int(Encoder(tokenizer).dtype.itemsize), "end_id": end_id, "buckets": buckets, "documents": size.n, "tokens": at, "starts": [[s, starts[s], n] for s, n in totals]}
+    meta = {"itemsize": int(encoder(tokenizer).dtype.itemsize), "end_id": end_id, "buckets": buckets, "documents": size.n, "tokens": at, "starts": [[s, starts[s], n] for s, n in totals]}
     write_file(f"{path}/meta.json", json.dumps(meta).encode(), "driver")
     return meta
 
@@ -223,8 +223,8 @@ def _digest(path: str, starts):
 
 def read_token_files(keys: DataFrame, path: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of the keys, each found through the index and read from its shard."""
-    found = keys.select("doc_id").mapInArrow(_find(path), "doc_id long, shard int, offset long, n long")
-    return found.repartition("shard").sortWithinPartitions("shard", "offset").mapInArrow(_digest(path, None), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    found = keys.select("doc_id").mapInArrow(lean(_find(path)), "doc_id long, shard int, offset long, n long")
+    return found.repartition("shard").sortWithinPartitions("shard", "offset").mapInArrow(lean(_digest(path, None)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

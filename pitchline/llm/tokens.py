@@ -12,13 +12,14 @@ from __future__ import annotations
 import json
 import re
 from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 
 from .common import _BYTE, U, _powers, mix, slices, text_buffers
 
-WORDS, LONG, SLICE = 400_000, 64, 1 << 21
+WORDS, LONG, SLICE = 150_000, 64, 1 << 20
 #: Fixed value: the pattern of the vocabularies whose split is done here.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
@@ -158,3 +159,9 @@ class Encoder:
 
     def ids(self, text: str | None) -> np.ndarray:
         return next(self.column(pa.array([text], pa.string())))
+
+
+@lru_cache(1)
+def encoder(path: str | None = None) -> Encoder:
+    """The worker's encoder: it is loaded, and its words are looked up, once for all its tasks."""
+    return Encoder(path)

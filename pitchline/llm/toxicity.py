@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import U, mix, slices, table, text_buffers, unique_documents, word_hashes, word_spans
+from .common import U, lean, mix, slices, table, text_buffers, unique_documents, word_hashes, word_spans
 
 WINDOW, STRIDE, DIM, HIDDEN, CHARS, VOCAB = 32, 16, 8, 8, 4096, 20_000
 PER_CLASS, PER_DOC, LONGEST, STEPS, THRESHOLD = 2500, 6, 40_000, 300, 0.3
@@ -305,7 +305,7 @@ def score_documents(documents: DataFrame, net: Net, name: str = "score") -> Data
         for b in batches:
             yield b.append_column(name, pa.array(shared.value.scores(b.column("text"))))
 
-    return rows.mapInArrow(run, StructType(list(rows.schema)).add(name, "double"))
+    return rows.mapInArrow(lean(run), StructType(list(rows.schema)).add(name, "double"))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

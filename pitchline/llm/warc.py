@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, maybe_broadcast, open_fs, shared_dir, table, unique_documents, write_file
+from .common import cut, lean, maybe_broadcast, open_fs, shared_dir, table, unique_documents, write_file
 
 LEVEL, BLOCK = 4, 1 << 18
 _ROWS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -148,7 +148,7 @@ def write_warc(pages: DataFrame, path: str, least: int = 100, date: str = "2024-
     first = cut(seen.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1").drop("n"), "repeated")
     again = cut(seen.join(first, "digest").where("page_id <> refers_to").select("page_id", "refers_to"), "revisits")
     laid = rows.join(maybe_broadcast(again), "page_id", "left").select("page_id", "url", "html", "refers_to")
-    return cut(laid.mapInArrow(_write(path, date), "file string, records long"), "archives")
+    return cut(laid.mapInArrow(lean(_write(path, date)), "file string, records long"), "archives")
 
 
 def read_warc(files: DataFrame) -> DataFrame:
