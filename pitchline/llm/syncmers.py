@@ -1,139 +1,122 @@
-"""Document fingerprints of closed syncmers, with DataFrame and SQL functions alone.
-
-Units are a text's words and, for texts of up to SHORT code points, its characters. A k-mer is k consecutive units; it is
-a closed syncmer if the smallest hash among the s-mers within it is that of its first or its last one. Whether a
-k-mer is chosen depends on the k-mer alone, so equal stretches of two texts carry the same anchors wherever they stand.
-A fingerprint keeps the hashes of all of a text's anchors, so it grows with the text (one with fewer units than k, or without an
-anchor, has its whole sequence as the one anchor). Likeness is the Jaccard index of two anchor sets, on characters where
-both texts have them, else on words. Positions are in anchors().
-
-Everything is a projection, but for three joins by id: each document meets the head of its successor's text and its
-successor's fingerprint; the order of ids is found on ids alone.
+"""Document fingerprints of closed syncmers with their positions, with DataFrame and SQL functions alone.
+
+Units are a text's words. A k-mer is K consecutive words; it is a closed syncmer if the smallest hash among the runs of S
+words within it is that of its first or its last run. Whether a k-mer is chosen depends on the k-mer alone, so equal
+stretches of two texts carry the same anchors wherever they stand. An anchor is its k-mer's hash together with its distance, in
+words, from the anchor before it: two texts match at an anchor if both k-mer and place after the last anchor agree, so a match says that a
+stretch is the same in both, and not only that a k-mer occurs in both. A fingerprint has all of a text's distinct anchors in the order of
+the text and grows with it; every text is treated alike, whatever its length (fewer words than K, or no chosen k-mer: the whole sequence is the one
+anchor). Likeness is the Jaccard index of two texts' anchors.
+
+Texts are shuffled once. Documents are dealt over groups of neighbouring ids, at most GROUP ids a group, and each group also gets the
+document that follows its last one; so the next document's text and fingerprint are in the same group, sorted, one row on.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, position, table, unique_documents
+from .common import cut, maybe_broadcast, position, table, unique_documents
 
-SHORT = 400
-K, S = 5, 2  # words
-CK, CS = 8, 3  # characters
+K, S, GROUP = 3, 1, 256
+_SPACE = "\x20\t\n\x0b\x0c\r"
 _GAP = r"[\x20\x09-\x0D]+"
 
 
-def _windows(x: Column, n: int) -> Column:
-    """Hash of each run of n consecutive hashes of the array x."""
-    out = x
-    for i in range(1, n):
-        out = F.zip_with(F.slice(out, 1, F.greatest(F.size(out) - 1, F.lit(0))), F.slice(x, i + 1, F.greatest(F.size(x) - i, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-    return out
+def _window_hashes(x: Column, n: int) -> Column:
+    """Hash of each run of n consecutive hashes of the array x, which holds n or more."""
+    starts = F.sequence(F.lit(0), F.size(x) - n)
+    return F.transform(starts, lambda i: F.xxhash64(*[F.get(x, i + j) for j in range(n)]))
 
 
-def anchor_expr(units: Column, k: int, s: int) -> Column:
-    """array<struct<at, hash>> of the closed syncmers of an array of units, at: index of the first unit from 0.
-
-    Both hashes of a k-mer's s-mers are read by index from the array of s-mer hashes; a tie counts as smallest.
-    """
-    h = F.transform(units, lambda u: F.xxhash64(u))
-    smers = _windows(h, s)
-    inner = k - s + 1
+def _places(h: Column, runs: Column, k: int, s: int) -> Column:
+    """Where closed syncmers begin (from 0), of word hashes h and the hashes of their runs of s words; a tie counts as smallest."""
 
     def chosen(i):
-        at = [F.get(smers, i + j) for j in range(inner)]
-        return F.least(at[0], at[-1]) <= F.least(*at)
-
-    starts = F.sequence(F.lit(0), F.size(units) - k)
-    kmer = lambda i: F.struct(i.alias("at"), F.xxhash64(*[F.get(h, i + j) for j in range(k)]).alias("hash"))
-    found = F.transform(F.filter(starts, chosen), kmer)
-    whole = F.array(F.struct(F.lit(0).alias("at"), F.xxhash64(F.concat_ws(" ", units)).alias("hash")))
-    return F.when(F.size(units) >= k, F.when(F.size(found) > 0, found).otherwise(whole)).when(F.size(units) > 0, whole).otherwise(F.slice(whole, 1, 0))
+        inner = [F.get(runs, i + j) for j in range(k - s + 1)]
+        return F.least(inner[0], inner[-1]) <= F.least(*inner)
 
+    return F.filter(F.sequence(F.lit(0), F.size(h) - k), chosen)
 
-def words_expr(text: Column) -> Column:
-    return F.filter(F.split(text, _GAP), lambda w: w != "")
 
+def with_anchors(df: DataFrame, text: str, name: str, k: int = K, s: int = S) -> DataFrame:
+    """Adds name_at and name_hash, arrays of the same size: each anchor's first word (from 0) and its hash with its distance.
 
-def with_sketch(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds name_w and name_c: sorted arrays of the distinct anchor hashes, by word and (short texts) by character.
-
-    Each intermediate array is a column of its own projection, so none is computed twice.
+    Null where text is null, empty without words. Each intermediate array is a column of a projection of its own, so none is made twice.
     """
-    w, c = f"{name}_w", f"{name}_c"
-    short = F.length(text) <= SHORT
-    for units, k, s, out in ((words_expr(F.col(text)), K, S, w), (F.when(short, F.filter(F.split(F.col(text), ""), lambda x: x != "")), CK, CS, c)):
-        df = df.withColumn("_u", F.transform(units, lambda x: F.xxhash64(x)))
-        df = df.withColumn("_s", _windows(F.col("_u"), s))
-        df = df.withColumn(out, _distinct(F.col("_u"), F.col("_s"), k, s)).drop("_u", "_s")
-    return df
-
-
-def _distinct(h: Column, smers: Column, k: int, s: int) -> Column:
-    inner = k - s + 1
-
-    def kmer(i):
-        at = [F.get(smers, i + j) for j in range(inner)]
-        return F.when(F.least(at[0], at[-1]) <= F.least(*at), F.xxhash64(*[F.get(h, i + j) for j in range(k)]))
-
-    found = F.filter(F.transform(F.sequence(F.lit(0), F.size(h) - k), kmer), lambda x: x.isNotNull())
-    best = F.sort_array(F.array_distinct(found))
-    whole = F.array(F.xxhash64(h))
-    many = F.when(F.size(best) > 0, best).otherwise(whole)
-    return F.when(F.size(h) >= k, many).when(F.size(h) > 0, whole).when(F.size(h) == 0, F.slice(whole, 1, 0))
-
-
-def fingerprint_expr(w: Column, c: Column) -> Column:
-    """The two arrays as text: 16 hexadecimal digits a hash, words first, characters after a colon."""
-    digits = lambda a: F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x), 16, "0")), "")
-    return F.lower(F.concat(digits(w), F.when(c.isNotNull(), F.concat(F.lit(":"), digits(c))).otherwise(F.lit(""))))
-
-
-def _jaccard(a: Column, b: Column) -> Column:
-    both, inside = F.size(F.array_union(a, b)), F.size(F.array_intersect(a, b))
+    bare = F.btrim(F.col(text), F.lit(_SPACE))
+    df = df.withColumn("_u", F.when(bare == "", F.array().cast("array<bigint>")).otherwise(F.transform(F.split(bare, _GAP), lambda w: F.xxhash64(w))))
+    df = df.withColumn("_s", F.when(F.size("_u") >= k, _window_hashes(F.col("_u"), s)))
+    df = df.withColumn("_p", F.when(F.size("_u") >= k, _places(F.col("_u"), F.col("_s"), k, s)).otherwise(F.array().cast("array<int>")))
+    h, p = F.col("_u"), F.col("_p")
+    before = F.concat(F.slice(p, 1, 1), F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0))))
+    hashes = F.zip_with(p, before, lambda i, j: F.xxhash64(*[F.get(h, i + q) for q in range(k)], i - j))
+    some, words = F.size(p) > 0, F.size(h) > 0
+    at = F.when(h.isNull(), None).when(some, p).when(words, F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
+    hash_ = F.when(h.isNull(), None).when(some, hashes).when(words, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
+    return df.withColumns({f"{name}_at": at, f"{name}_hash": hash_}).drop("_u", "_s", "_p")
+
+
+def fingerprint_expr(distinct: Column) -> Column:
+    """Distinct anchor hashes as text, 16 hexadecimal digits each."""
+    return F.lower(F.array_join(F.transform(distinct, lambda x: F.lpad(F.hex(x), 16, "0")), ""))
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """Jaccard index of two arrays of distinct hashes: 1 for equal texts, among them two without words."""
+    inside = F.size(F.array_intersect(a, b))
+    both = F.size(a) + F.size(b) - inside
     return F.when(both == 0, 1.0).otherwise(inside / F.greatest(both, F.lit(1)))
 
 
-def likeness(aw: Column, ac: Column, bw: Column, bc: Column) -> Column:
-    """0 to 1; 1 for equal texts, among them two empty ones."""
-    return F.when(ac.isNotNull() & bc.isNotNull(), _jaccard(ac, bc)).otherwise(_jaccard(aw, bw))
+def anchors(documents: DataFrame, k: int = K, s: int = S) -> DataFrame:
+    """(doc_id, anchors array<struct<at, hash>>): the anchors that fingerprints are made of, repeated ones too."""
+    docs = unique_documents(documents, "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    return with_anchors(docs, "text", "x", k, s).select("doc_id", F.arrays_zip(F.col("x_at").alias("at"), F.col("x_hash").alias("hash")).alias("anchors"))
 
 
-def anchors(documents: DataFrame, k: int = K, s: int = S) -> DataFrame:
-    """(doc_id, anchors array<struct<at, hash>>): the closed syncmers of each text's words, for positional matching."""
-    return unique_documents(documents, "text").select("doc_id", anchor_expr(words_expr(F.coalesce("text", F.lit(""))), k, s).alias("anchors"))
+def _shift(ids: DataFrame, most: int = GROUP) -> int:
+    """How many low bits of an id may go so that no group of ids that share the rest has over `most` of them."""
+    span = ids.agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
+    s = max(0, min(62, ((span.hi - span.lo + 1) * most // span.n).bit_length() - 1)) if span.n else 0
+    while 1 << s > most and ids.groupBy(F.shiftright("doc_id", s)).count().where(F.col("count") > most).limit(1).count():
+        s -= 1
+    return s
 
 
-def successors(ids: DataFrame) -> DataFrame:
-    """(doc_id, next_id): the next id in ascending order, after the last the first."""
-    at = cut(position(ids, "doc_id"), "order")
+def neighbours(docs: DataFrame) -> DataFrame:
+    """(group, ghost, doc_id, text): each document in its group and, as a ghost, at the end of the group before (cyclic)
+    if it is its group's first."""
+    ids = docs.select("doc_id")
+    group = F.shiftright("doc_id", _shift(ids)).alias("group")
+    firsts = ids.groupBy(group).agg(F.min("doc_id").alias("doc_id"))
+    at = position(firsts, "group")  # a row a group
     n = at.count()
-    after = at.select(F.pmod(F.col("position") - 1, F.lit(max(n, 1))).alias("position"), F.col("doc_id").alias("next_id"))
-    return at.join(after, "position").select("doc_id", "next_id")
+    before = at.select(F.pmod(F.col("position") + 1, F.lit(max(n, 1))).alias("position"), F.col("group").alias("before"))
+    ghosts = cut(at.join(before, "position").select("doc_id", F.col("before").alias("group")), "ghosts")
+    own = docs.select(group, F.lit(False).alias("ghost"), "doc_id", "text")
+    return own.union(docs.join(maybe_broadcast(ghosts), "doc_id").select("group", F.lit(True).alias("ghost"), "doc_id", "text"))
 
 
 def fingerprints(documents: DataFrame) -> DataFrame:
     """See op9's contract: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
-    A null text is empty; an empty text has an empty fingerprint. The only document is its own successor. Repeated
-    ids: unique_documents. An empty table gives no rows; extra columns are not read.
+    A null text is empty; a text without words has an empty fingerprint. The only document is its own successor. Repeated
+    ids: unique_documents. Equal (also neighbouring) texts have equal fingerprints and likeness 1. An empty table gives no rows; extra columns are not read.
     """
     docs = unique_documents(documents, "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    order = cut(successors(docs.select("doc_id")), "successors")
-    quarter = F.floor(F.length("text") / 4).cast("int")
-    sizes = cut(docs.select("doc_id", quarter.alias("q")), "quarters")
-    asked = order.join(sizes, "doc_id").select(F.col("next_id").alias("doc_id"), F.col("doc_id").alias("before"), "q")
-    heads = docs.join(asked, "doc_id").select(F.col("before").alias("doc_id"), F.expr("left(text, q)").alias("head"))
-    own = docs.join(heads, "doc_id")
-    n = F.length("text")
-    own = own.select("doc_id", "text", n.cast("long").alias("n_chars"), F.concat(F.expr("left(text, length(text) - cast(floor(length(text) / 4) as int))"), "head").alias("edited"))
-    own = own.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256))
-    own = with_sketch(with_sketch(own, "text", "a"), "edited", "b")
-    own = cut(own.select("doc_id", "n_chars", "edited_sha256", "a_w", "a_c", "b_w", "b_c"), "sketches")
-    nxt = order.join(own.select(F.col("doc_id").alias("next_id"), F.col("a_w").alias("n_w"), F.col("a_c").alias("n_c")), "next_id").drop("next_id")
-    a, b, x = ((F.col(f"{p}_w"), F.col(f"{p}_c")) for p in "abn")
-    return own.join(nxt, "doc_id").select("doc_id", "n_chars", "edited_sha256", fingerprint_expr(*a).alias("fingerprint"), fingerprint_expr(*b).alias("edited_fingerprint"), likeness(*a, *b).cast("double").alias("near_edited"), likeness(*a, *x).cast("double").alias("near_next"))
+    along = Window.partitionBy("group").orderBy("ghost", "doc_id")
+    rows = neighbours(docs).withColumn("after", F.lead("text").over(along))  # null for ghosts alone
+    rows = rows.withColumn("n", F.length("text")).withColumn("q", F.floor(F.col("n") / 4).cast("int"))
+    rows = rows.withColumn("edited", F.when(~F.col("ghost"), F.concat(F.expr("left(text, n - q)"), F.expr("left(after, q)"))))
+    rows = rows.select("group", "ghost", "doc_id", "n", "text", "edited", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    for text, name in (("text", "a"), ("edited", "b")):
+        rows = with_anchors(rows, text, name).withColumn(name, F.array_distinct(f"{name}_hash")).drop(text, f"{name}_at", f"{name}_hash")
+    a, b = F.col("a"), F.col("b")
+    rows = rows.select("group", "ghost", "doc_id", "n", "edited_sha256", "a", fingerprint_expr(a).alias("fingerprint"), fingerprint_expr(b).alias("edited_fingerprint"), likeness(a, b).alias("near_edited"))
+    rows = rows.withColumn("next", F.lead("a").over(along)).where(~F.col("ghost"))
+    return rows.select("doc_id", F.col("n").cast("long").alias("n_chars"), "edited_sha256", "fingerprint", "edited_fingerprint", F.col("near_edited").cast("double").alias("near_edited"), likeness(a, F.col("next")).cast("double").alias("near_next"))
 
 
 def op9_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
