@@ -1,14 +1,16 @@
 """Mixing sources to target weights by entropy balancing.
 
-A document's rate r is how often the mix takes it. Among all rates that meet a source's constraints, on words and on
-documents, the ones closest in relative entropy to taking each document once are exponentially tilted, r = exp(a + b*x)
-with x the document's size over its source's mean size. The dual in (a, b) is convex; Newton's iterations solve it for all sources
-at once, each as one aggregation over the table of (source, size, documents), which is far smaller than the
-documents and holds all that the dual depends on. With words and documents tilted alike, long and short documents keep their proportion.
+A document's rate r is how often the mix takes it, at most `cap` times. Of all rates that meet a source's token constraint (the sum of r * size is
+its target), the ones closest in relative entropy to taking each document once are exponentially tilted: r = min(cap, exp(b * x)) with x the
+document's size over its source's mean size. The dual in b is convex, its gradient the tokens taken less the target; Newton's iterations on
+the logarithm of the tokens, kept within a bracket of the root, solve it for all sources at once, each as one aggregation over the table of (source,
+size, documents), which is far smaller than the documents and holds all that the dual depends on. A source that is to grow takes its longer
+documents more often, one that is to shrink takes them less often; b is 0 only where the target is the source's own size. A source whose target is all that
+the cap allows takes every document `cap` times.
 
 Rates then become copies: per source, from the longest size down, each size takes the number of copies that its rate asks for
 plus what rounding has left over so far, so what remains at the end is about the shortest documents' size. Documents of
-one source and size are alike to the constraints; a hash order deals the copies among them, each at most `cap`.
+one source and size are alike to the constraint; a hash order deals the copies among them, each at most `cap`.
 """
 
 from __future__ import annotations
@@ -42,28 +44,39 @@ def targets(sources: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap: floa
     return ranked.withColumn("target", F.least(most, F.col("w") * level)).drop("w", "position")
 
 
-def _newton(table_: DataFrame, sources: DataFrame, most: int = 50) -> DataFrame:
-    """(key, a, b) of each source that has a target above 0."""
-    goal = sources.where("target > 0").select("key", (F.col("target") / F.col("source_size")).alias("rho"), "source_size")
-    docs = table_.groupBy("key").agg(F.sum("n").alias("docs"))
-    goal = cut(goal.join(docs, "key").withColumn("mean", F.col("source_size") / F.col("docs")), "goal")
-    rows = cut(table_.join(goal, "key").select("key", "n", (F.col("size") / F.col("mean")).alias("x"), "rho"), "tilt")
-    state = goal.select("key", F.lit(0.0).alias("a"), F.lit(0.0).alias("b"))
-    for _ in range(most):
-        r = F.col("n") * F.exp(F.col("a") + F.col("b") * F.col("x"))
-        sums = rows.join(state, "key").groupBy("key").agg(F.first("a").alias("a"), F.first("b").alias("b"), F.sum(r).alias("h0"), F.sum(r * F.col("x")).alias("h1"), F.sum(r * F.col("x") * F.col("x")).alias("h2"), F.sum(F.col("n") * F.col("rho")).alias("t0"), F.sum(F.col("n") * F.col("x") * F.col("rho")).alias("t1"))
-        det = F.col("h0") * F.col("h2") - F.col("h1") * F.col("h1")
-        g0, g1 = F.col("h0") - F.col("t0"), F.col("h1") - F.col("t1")
-        flat = det <= 1e-9 * F.col("h0") * F.col("h2")  # one size only: the two constraints are one
-        da = F.when(flat, g0 / F.col("h0")).otherwise((F.col("h2") * g0 - F.col("h1") * g1) / F.when(flat, 1.0).otherwise(det))
-        db = F.when(flat, 0.0).otherwise((F.col("h0") * g1 - F.col("h1") * g0) / F.when(flat, 1.0).otherwise(det))
-        clip = lambda c: F.greatest(F.lit(-2.0), F.least(F.lit(2.0), c))
-        step = cut(sums.select("key", (F.col("a") - clip(da)).alias("a"), (F.col("b") - clip(db)).alias("b"), (F.abs(g0) / F.col("t0") + F.abs(g1) / F.col("t1")).alias("off")), "newton")
-        off = step.agg(F.max("off")).first()[0]
-        state = step.drop("off")
-        if off is None or off < 1e-10:
+def tilts(sizes: DataFrame, sources: DataFrame, cap: float, tolerance: float = 1e-9, rounds: int = 40, chained: int = 5) -> DataFrame:
+    """(key, mean, b) of each source with a target above 0; b is null where the target is all that the cap allows.
+
+    sizes: (key, size, n). `chained` iterations are one job, and one table that is written; not solved after rounds * chained of them, it raises.
+    """
+    goal = sources.where("target > 0").join(sizes.groupBy("key").agg(F.sum("n").alias("docs")), "key")
+    goal = goal.select("key", (F.col("source_size") / F.col("docs")).alias("mean"), (F.col("target") / F.col("source_size")).alias("rho"), F.col("docs").cast("double").alias("docs"))
+    goal = cut(goal, "goal")
+    full = F.col("rho") >= cap * (1 - 1e-12)
+    rows = cut(sizes.where("size > 0").join(goal.where(~full), "key").select("key", F.col("n").cast("double").alias("n"), (F.col("size") / F.col("mean")).alias("x"), (F.col("rho") * F.col("docs")).alias("t")), "tilt")
+    state = goal.where(~full).select("key", F.lit(0.0).alias("b"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
+    raw = F.exp(F.least(F.col("b") * F.col("x"), F.lit(700.0)))
+    for _ in range(rounds):
+        for _ in range(chained):
+            r, free = F.least(raw, F.lit(float(cap))), F.when(raw < cap, raw).otherwise(0.0)
+            sums = rows.join(state, "key").groupBy("key", "b", "lo", "hi", "t").agg(F.sum(F.col("n") * F.col("x") * r).alias("g"), F.sum(F.col("n") * F.col("x") * F.col("x") * free).alias("h"))
+            over = F.col("g") > F.col("t")
+            lo, hi = F.when(over, F.col("lo")).otherwise(F.col("b")), F.when(over, F.col("b")).otherwise(F.col("hi"))
+            sums = sums.select("key", "b", "g", "t", "h", lo.alias("lo"), hi.alias("hi"))
+            step = F.col("b") - F.col("g") * F.log(F.col("g") / F.col("t")) / F.col("h")
+            inside = (F.col("h") > 0) & (F.col("lo").isNull() | (step > F.col("lo"))) & (F.col("hi").isNull() | (step < F.col("hi")))
+            halved = F.when(F.col("lo").isNull(), F.col("hi") * 2 - 1).when(F.col("hi").isNull(), F.col("lo") * 2 + 1).otherwise((F.col("lo") + F.col("hi")) / 2)
+            met = F.abs(F.col("g") - F.col("t")) <= tolerance * F.col("t")
+            state = sums.select("key", F.when(met, F.col("b")).when(inside, step).otherwise(halved).alias("b"), "lo", "hi", met.alias("met"))
+            last, state = state, state.drop("met")
+        last = cut(last, "newton")
+        if not last.where(~F.col("met")).limit(1).count():
             break
-    return state.select("key", F.round("a", 9).alias("a"), F.round("b", 9).alias("b"))  # sums in another order agree to that
+        state = last.drop("met")
+    else:
+        raise RuntimeError(f"tilts: the token constraints are not met after {rounds * chained} iterations")
+    solved = last.select("key", F.round("b", 9).alias("b"))  # sums in another order agree to that
+    return goal.select("key", "mean").join(solved, "key", "left")
 
 
 def _copies(cap: int):
@@ -84,7 +97,8 @@ def mix_sources(documents: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap
     """(doc_id, size, source, source_size, target, copies, taken) of every document.
 
     A null text has size 0; a null source is a source of its own, last. Repeated ids: unique_documents. A source
-    of size 0 has target 0 and none is taken. Reruns agree. An empty table gives no rows; extra columns are not read.
+    of size 0 has target 0 and none is taken. A document of size 0 counts towards no constraint: its rate is that of its source's tilt, 1 (cap where the
+    source takes all it can). Documents of one source and size are dealt copies by a hash of the id. Reruns agree. An empty table gives no rows; extra columns are not read.
     """
     docs = unique_documents(documents, "text", "source")
     key = F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("-"))
@@ -92,9 +106,9 @@ def mix_sources(documents: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap
     sizes = cut(docs.groupBy("key", "size").agg(F.count("*").alias("n"), F.first("source").alias("source")), "histogram")
     sources = sizes.groupBy("key").agg(F.first("source").alias("source"), F.sum(F.col("size") * F.col("n")).alias("source_size"))
     sources = cut(targets(sources, weights, share, float(cap)), "targets")
-    tilt = _newton(sizes.select("key", "size", "n"), sources)
-    mean = sizes.groupBy("key").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"))
-    rates = sizes.join(tilt, "key").join(mean, "key").select("key", "size", "n", F.least(F.lit(float(cap)), F.exp(F.col("a") + F.col("b") * F.col("size") / F.col("mean"))).alias("rate"))
+    tilt = tilts(sizes.select("key", "size", "n"), sources, float(cap))
+    tilted = F.coalesce(F.exp(F.least(F.col("b") * F.col("size") / F.col("mean"), F.lit(700.0))), F.lit(float(cap)))
+    rates = sizes.join(tilt, "key").select("key", "size", "n", F.least(F.lit(float(cap)), tilted).alias("rate"))
     plan = cut(rates.groupBy("key").applyInPandas(_copies(cap), "key string, size long, n long, m long"), "copies")
     ranked = rank_in_class(docs, ["key", "size"], ["doc_id"])
     extra = F.when(F.col("rank") < F.col("m") % F.col("n"), 1).otherwise(0)
