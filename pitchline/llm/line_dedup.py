@@ -1,63 +1,77 @@
 """Line dedup by distinct-site spread.
 
-A line's key is a 128-bit digest of its trimmed text. Over all lines of all documents, one aggregation finds each key's
-first document and its smallest and largest site; keys of one site are done with. For the others, HyperLogLog sketches of
-their sites, one a line hash, are built per task and merged by the aggregation. Keys whose estimate lies
-within the sketch's error band around the threshold get an exact distinct count; the rest are decided by the estimate.
+A line's key is a 128-bit digest of its trimmed text. The lines of all texts are written once as narrow rows (document, place, key, site).
+One aggregation over those rows by key, combined in each task before the shuffle, builds a HyperLogLog sketch of the key's sites and finds
+its first place. Keys whose estimate lies above the sketch's error band around the threshold are decided by it; those
+within the band get an exact distinct count of their sites; the others, by far the most, are done with.
 Lines on at least `sites` sites are boilerplate: they stay in the document with the smallest id that holds them,
 at their first place there, and go everywhere else.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import cut, maybe_broadcast, table, unique_documents
 
-_EDGE = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+_SPACE = "\x20\t\n\x0b\x0c\r"
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, at, hi, lo): a row for each line that has text."""
-    rows = docs.select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    rows = rows.withColumn("line", F.regexp_replace("line", _EDGE, "")).where("line <> ''")
+def _bare(line: Column) -> Column:
+    return F.btrim(line, F.lit(_SPACE))
+
+
+def _lines(docs: DataFrame, least_words: int) -> DataFrame:
+    """(doc_id, source, at, hi, lo): a row for each line of at least least_words words (1 at least)."""
+    rows = docs.select("doc_id", "source", F.posexplode(F.split("text", "\n")).alias("at", "line")).withColumn("line", _bare(F.col("line")))
+    rows = rows.where("line <> ''")
+    if least_words > 1:
+        rows = rows.where(F.regexp_count("line", F.lit(r"[\x20\x09-\x0D]+")) + 1 >= least_words)
     return rows.select("doc_id", "source", "at", F.xxhash64("line").alias("hi"), F.xxhash64(F.lit("lo"), "line").alias("lo"))
 
 
-def spread(docs: DataFrame, sites: int, lg: int = 8) -> DataFrame:
-    """(hi, lo, first_doc, first_at) of the lines on at least `sites` distinct sites (null is none)."""
-    lines = _lines(docs)
-    once = lines.groupBy("hi", "lo").agg(F.min(F.struct("doc_id", "at")).alias("first"), F.min("source").alias("s0"), F.max("source").alias("s1"))
-    wide = cut(once.where((F.col("s0") < F.col("s1")) if sites > 1 else F.col("s0").isNotNull()).select("hi", "lo", F.col("first.doc_id").alias("first_doc"), F.col("first.at").alias("first_at")), "lines")
-    held = lines.join(maybe_broadcast(wide.select("hi", "lo")), ["hi", "lo"]).where("source is not null")
-    held = cut(held.groupBy("hi", "lo", "source").agg(F.count("*").alias("n")), "held")  # a row a line and site
-    est = held.groupBy("hi", "lo").agg(F.hll_sketch_agg("source", F.lit(lg)).alias("sketch")).select("hi", "lo", F.hll_sketch_estimate("sketch").alias("estimate"))
-    est = cut(est, "estimates")
-    band = max(2.0, 4 * 1.04 / 2 ** (lg / 2) * sites)
-    near = est.where(F.abs(F.col("estimate") - sites) <= band).select("hi", "lo")
-    exact = held.join(maybe_broadcast(near), ["hi", "lo"]).groupBy("hi", "lo").agg(F.count("source").alias("k")).where(F.col("k") >= sites)
-    far = est.where(F.col("estimate") > sites + band)
-    chosen = far.select("hi", "lo").union(exact.select("hi", "lo"))
-    return cut(wide.join(chosen, ["hi", "lo"]), "boilerplate")
-
-
-def dedup_lines(documents: DataFrame, sites: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+def band(sites: int, lg: int) -> float:
+    """How far an estimate near `sites` may be off: four standard errors of a sketch of 2**lg registers, and one colliding pair."""
+    return max(1.0, 4 * 1.04 / 2 ** (lg / 2) * sites)
+
+
+def spread(lines: DataFrame, sites: int, lg: int = 8) -> DataFrame:
+    """(hi, lo, first_doc, first_at) of the lines on at least `sites` distinct sites (null is none).
+
+    lines: a table that reads the same each time (see cut).
+    """
+    wide = band(sites, lg)
+    keys = lines.groupBy("hi", "lo").agg(F.hll_sketch_agg("source", F.lit(lg)).alias("sketch"), F.min(F.struct("doc_id", "at")).alias("first"))
+    keys = keys.select("hi", "lo", F.hll_sketch_estimate("sketch").alias("estimate"), F.col("first.doc_id").alias("first_doc"), F.col("first.at").alias("first_at"))
+    keys = cut(keys.where(F.col("estimate") >= sites - wide), "estimates")
+    near = keys.where(F.col("estimate") <= sites + wide).select("hi", "lo")
+    exact = lines.where("source is not null").join(maybe_broadcast(near), ["hi", "lo"])
+    exact = exact.groupBy("hi", "lo", "source").agg(F.count("*").alias("n")).groupBy("hi", "lo").agg(F.count("*").alias("k")).where(F.col("k") >= sites)
+    chosen = keys.where(F.col("estimate") > sites + wide).select("hi", "lo").union(exact.select("hi", "lo"))
+    return cut(keys.drop("estimate").join(chosen, ["hi", "lo"]), "boilerplate")
+
+
+def dedup_lines(documents: DataFrame, sites: int = 3, carry: tuple[str, ...] = (), least_words: int = 1, lg: int = 8) -> DataFrame:
     """Adds clean_text, n_lines and n_removed to (doc_id, text, source, *carry).
 
-    n_lines counts lines with text. A null text stays null, without lines; documents are never dropped here. Lines repeated within
-    their first document go too. Repeated ids: unique_documents. An empty table gives no rows.
+    n_lines counts lines with text. A line of fewer than least_words words is never boilerplate. A null text stays null, without lines; documents
+    are never dropped here. Lines repeated within their first document go too. Ties for the first document can't be, ids being unique. Repeated ids:
+    unique_documents. Very long texts and lines are worked on in linear time. An empty table gives no rows. Extra columns are not read; carried ones may
+    have any name but those of the result.
     """
     docs = unique_documents(documents, "text", "source", *carry)
-    gone = spread(docs, sites)
-    lines = _lines(docs).join(maybe_broadcast(gone), ["hi", "lo"])
-    out = lines.where(~((F.col("doc_id") == F.col("first_doc")) & (F.col("at") == F.col("first_at")))).groupBy("doc_id").agg(F.collect_list("at").alias("out"))
-    out = cut(out, "removed")
-    all_ = F.split("text", "\n")
-    kept = F.when(F.col("out").isNull(), F.col("text")).otherwise(F.array_join(F.filter(all_, lambda x, i: ~F.array_contains("out", i)), "\n"))
-    n = F.size(F.filter(all_, lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
-    joined = docs.join(out.hint("merge"), "doc_id", "left")  # by shuffle at every size: the lists grow with the texts
-    return joined.select("doc_id", "text", "source", *carry, kept.alias("clean_text"), F.greatest(F.coalesce(n, F.lit(0)), F.lit(0)).cast("long").alias("n_lines"), F.greatest(F.coalesce(F.size("out"), F.lit(0)), F.lit(0)).cast("long").alias("n_removed"))
+    docs = docs.select("doc_id", "text", "source", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in carry]).alias("carried"))
+    lines = cut(_lines(docs, least_words), "lines")
+    gone = spread(lines, sites, lg)
+    out = lines.join(maybe_broadcast(gone), ["hi", "lo"]).where(~((F.col("doc_id") == F.col("first_doc")) & (F.col("at") == F.col("first_at"))))
+    out = cut(out.groupBy("doc_id").agg(F.collect_list("at").alias("out")), "removed")  # a list is never longer than its text
+    joined = docs.join(out.hint("merge"), "doc_id", "left").withColumn("all", F.split("text", "\n"))  # by shuffle at every size: the lists grow with the texts
+    kept = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), "out")
+    clean = F.when(F.col("out").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda i: F.get("all", i)), "\n"))
+    size = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long")
+    joined = joined.select("doc_id", "text", "source", "carried", clean.alias("clean_text"), size(F.filter("all", lambda x: _bare(x) != "")).alias("n_lines"), size(F.col("out")).alias("n_removed"))
+    return joined.select("doc_id", "text", "source", *[F.col(f"carried.`{c}`") for c in carry], "clean_text", "n_lines", "n_removed")
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
