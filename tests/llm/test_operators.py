@@ -100,6 +100,31 @@ def test_mixing_meets_targets(spark, docs, corpus):
     assert mix_sources(docs.limit(0)).count() == 0
 
 
+def test_mixing_rates_are_tilted(spark):
+    """Rates against a bisection of the dual; a constant rate, which meets the same target, must not come out."""
+    from pitchline.llm.mixing import mix_sources, tilts
+
+    rng = random.Random(11)
+    kinds = {"grow": 1.3, "shrink": 0.4, "all": 2.0, "same": 1.0}
+    sizes = [(k, s, rng.randint(1, 5)) for k in kinds for s in sorted(rng.sample(range(0, 900), 40)) + [20_000]]
+    total = {k: sum(s * n for q, s, n in sizes if q == k) for k in kinds}
+    sources = spark.createDataFrame([(k, total[k], total[k] * r) for k, r in kinds.items()] + [("none", 0, 0.0)], "key string, source_size long, target double")
+    got = {r.key: r for r in tilts(spark.createDataFrame(sizes, "key string, size long, n long"), sources, 2.0).collect()}
+    assert set(got) == set(kinds) and got["all"].b is None and abs(got["same"].b) < 1e-8 and got["grow"].b > 1e-3 and got["shrink"].b < -1e-3
+    for k in ("grow", "shrink"):
+        taken = lambda b: sum(n * s * min(2.0, np.exp(min(b * s / got[k].mean, 700))) for q, s, n in sizes if q == k)  # noqa: B023, E731
+        lo, hi = -1e4, 1e4
+        for _ in range(200):
+            lo, hi = ((lo + hi) / 2, hi) if taken((lo + hi) / 2) < total[k] * kinds[k] else (lo, (lo + hi) / 2)
+        assert got[k].b == pytest.approx(lo, abs=1e-6) and taken(got[k].b) == pytest.approx(total[k] * kinds[k], rel=1e-6)
+    docs = spark.createDataFrame([(i, " ".join(["w"] * n), src) for i, (n, src) in enumerate((n, s) for s in "ab" for n in (1, 5, 30, 200, 1500, 9000) for _ in range(40))], "doc_id long, text string, source string")
+    rate = defaultdict(list)
+    for r in mix_sources(docs, weights=(1, 3), share=1.2).collect():
+        rate[r.source, r["size"]].append(r.copies)
+    mean = {k: sum(v) / len(v) for k, v in rate.items()}
+    assert mean["a", 9000] < mean["a", 200] <= mean["a", 5] + 0.05 and mean["b", 9000] > mean["b", 30]
+
+
 def test_packing_round_trip(docs, corpus):
     import public_tokenizers
     from tokenizers import Tokenizer
@@ -185,43 +210,76 @@ def test_warc_round_trip(spark, tmp_path):
         list(read_records(io.BytesIO(one[:-20])))
 
 
-def test_syncmers(docs, corpus):
-    from pitchline.llm.syncmers import anchors, fingerprints
+def brute_anchors(text, k=3, s=1):
+    """(first word, hash) of each anchor, by the rule and XXH64 with chained seeds."""
+    import xxhash
+
+    long_ = lambda x, seed: xxhash.xxh64_intdigest(x.to_bytes(8, "little"), seed)
+    h = [xxhash.xxh64_intdigest(w.encode(), 42) for w in W.findall(text)]
+
+    def chain(xs):
+        out = 42
+        for x in xs:
+            out = long_(x, out)
+        return out
+
+    signed = lambda x: x - 2**64 if x >= 2**63 else x
+    out, last = [], None
+    for i in range(len(h) - k + 1):
+        runs = [signed(chain(h[j : j + s])) for j in range(i, i + k - s + 1)]
+        if min(runs) in (runs[0], runs[-1]):
+            gap = 0 if last is None else i - last
+            out.append((i, xxhash.xxh64_intdigest(gap.to_bytes(4, "little"), chain(h[i : i + k]))))
+            last = i
+    return out or ([(0, chain(h))] if h else [])
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def test_syncmers_equal_brute_force(spark, docs, corpus):
+    from pitchline.llm.syncmers import _shift, anchors, fingerprints
 
-    rows = {r.doc_id: r for r in fingerprints(docs).collect()}
     t = {i: x or "" for i, x in texts(corpus).items()}
-    ids = sorted(t)
+    rng = random.Random(9)
+    vast = " ".join(f"w{rng.randrange(10**6)}" for _ in range(30_000))
+    odd = spark.createDataFrame([(2**40, vast, 1, 1, 1), (2**40 + 1, vast + " end", 1, 1, 1), (-(2**50), " \n\tA\u0085 b\x0bc ", 1, 1, 1)], "doc_id long, text string, group int, ghost int, after int")
+    both = docs.select("doc_id", "text", F.lit(1).alias("group"), F.lit(1).alias("ghost"), F.lit(1).alias("after")).unionAll(odd)
+    t |= {r.doc_id: r.text for r in odd.collect()}
+    rows = {r.doc_id: r for r in fingerprints(both).collect()}
+    ids, made = sorted(t), {r.doc_id: r.anchors for r in anchors(both).collect()}
+    assert sorted(rows) == ids
+    own = {i: brute_anchors(t[i]) for i in ids}
+    digits = lambda a: "".join(f"{x:016x}" for x in dict.fromkeys(x for _, x in a))
     for n, i in enumerate(ids):
-        q, after = len(t[i]) // 4, t[ids[(n + 1) % len(ids)]]
-        edited = t[i][: len(t[i]) - q] + after[:q]
+        after = ids[(n + 1) % len(ids)]
+        q = len(t[i]) // 4
+        edited = t[i][: len(t[i]) - q] + t[after][:q]
+        e = brute_anchors(edited)
         assert (rows[i].n_chars, rows[i].edited_sha256) == (len(t[i]), hashlib.sha256(edited.encode()).hexdigest())
-        assert 0 <= rows[i].near_edited <= 1 and 0 <= rows[i].near_next <= 1
-    same = defaultdict(set)
-    for i in ids:
-        same[t[i]].add(rows[i].fingerprint)
-    assert all(len(x) == 1 for x in same.values())
-    a = {r.doc_id: r.anchors for r in anchors(docs).collect()}
-    long = max(ids, key=lambda i: len(t[i]))
-    assert a[long] and all(0 <= x["at"] < len(t[long].split()) for x in a[long])
+        assert (rows[i].fingerprint, rows[i].edited_fingerprint) == (digits(own[i]), digits(e))
+        assert [(x["at"], x["hash"] % 2**64) for x in made[i]] == own[i]
+        hashes = lambda a: {x for _, x in a}
+        assert rows[i].near_edited == pytest.approx(jaccard(hashes(own[i]), hashes(e)))
+        assert rows[i].near_next == pytest.approx(jaccard(hashes(own[i]), hashes(own[after])))
+    assert len(own[2**40]) > 15_000 and rows[2**40].near_next > 0.99
     assert fingerprints(docs.limit(0)).count() == 0
+    alone = fingerprints(docs.where("doc_id = 3")).first()
+    assert alone.near_next == 1.0
+    for step in (1, 7, 2**33):
+        few = spark.range(3000).select((F.col("id") * step).alias("doc_id"))
+        assert few.groupBy(F.shiftright("doc_id", _shift(few))).count().agg(F.max("count")).first()[0] <= 256
 
 
-def test_syncmers_keep_all_anchors_of_long_texts(spark):
-    from pitchline.llm.syncmers import anchors, fingerprints
-
-    rng = random.Random(9)
-    a = [f"w{rng.randrange(10**6)}" for _ in range(800)]
-    b = [f"v{rng.randrange(10**6)}" for _ in range(800)]
-    b[300:340] = a[100:140]
-    df = spark.createDataFrame([(1, " ".join(a)), (2, " ".join(b))], "doc_id long, text string")
-    rows = {r.doc_id: r for r in fingerprints(df).collect()}
-    n = {r.doc_id: len({x["hash"] for x in r.anchors}) for r in anchors(df).collect()}
-    sets = {i: {r.fingerprint[j : j + 16] for j in range(0, len(r.fingerprint), 16)} for i, r in rows.items()}
-    assert {i: len(x) for i, x in sets.items()} == n and min(n.values()) > 300
-    both = sets[1] & sets[2]
-    assert len(both) >= 8 and rows[1].near_next == pytest.approx(len(both) / len(sets[1] | sets[2]))
-    edited = {rows[1].edited_fingerprint[j : j + 16] for j in range(0, len(rows[1].edited_fingerprint), 16)}
-    assert rows[1].near_edited == pytest.approx(len(sets[1] & edited) / len(sets[1] | edited))
+def test_syncmers_match_by_position():
+    a = [f"w{i}" for i in range(60)]
+    moved = a[:20] + ["new", "words"] + a[20:]  # an insertion costs the anchors around it alone
+    x, y = ({h for _, h in brute_anchors(" ".join(w))} for w in (a, moved))
+    assert jaccard(x, y) > 0.85
+    thinned = [w for i, w in enumerate(a) if i % 10]  # k-mers that are left, at other distances, are no matches
+    kmers = lambda w: {tuple(w[i : i + 3]) for i in range(len(w) - 2)}
+    assert jaccard(x, {h for _, h in brute_anchors(" ".join(thinned))}) < jaccard(kmers(a), kmers(thinned))
 
 
 def test_line_dedup(spark, docs, corpus):
@@ -236,6 +294,34 @@ def test_line_dedup(spark, docs, corpus):
     assert dedup_lines(wide, sites=50).where("n_removed = 1").count() == 399
     assert dedup_lines(wide, sites=91).where("n_removed = 1").count() == 0
     assert dedup_lines(df.limit(0)).count() == 0
+    # a very long text, in linear time; white space that Java's $ would step over; lines of few words kept; names that clash
+    many = [f"line {i}" for i in range(100_000)]
+    rows = [(0, "\n".join(many), "a", 1), (1, "\n".join(many), "b", 2), (2, "\n".join([*many, "own \x85", "own \x85 "]), "c", 3)]
+    wide = spark.createDataFrame(rows, "doc_id long, text string, source string, at int").withColumns({"all": F.lit(1), "carried": F.lit(2), "estimate": F.lit(3)})
+    got = {r.doc_id: r for r in dedup_lines(wide, carry=("at", "all", "carried", "estimate")).collect()}
+    assert (got[0].n_removed, got[1].n_removed, got[2].n_removed, got[2].n_lines) == (0, 100_000, 100_000, 100_002)
+    assert got[2].clean_text == "own \x85\nown \x85 " and got[0].clean_text == rows[0][1] and (got[2].at, got[2]["all"], got[2].carried, got[2].estimate) == (3, 1, 2, 3)
+    assert dedup_lines(wide, least_words=3).where("n_removed > 0").count() == 0
+
+
+def test_line_dedup_decides_by_sketches_beyond_the_band(spark):
+    from pyspark.sql.functions import hll_sketch_estimate  # noqa: F401
+
+    from pitchline.llm.line_dedup import _lines, band, spread
+
+    rng = random.Random(8)
+    spread_of = {f"line {n} {i}": n for n in (1, 2, 3, 4, 5, 9, 40, 70, 100, 130, 400) for i in range(5)}
+    rows = [(k, f"site{j}") for k, n in spread_of.items() for j in rng.sample(range(500), n) for _ in range(1 + (j == 3))]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(i, t, s) for i, (t, s) in enumerate(rows)], "doc_id long, text string, source string")
+    lines = _lines(docs, 1).cache()
+    firsts = {}
+    for i, (t, _) in enumerate(rows):
+        firsts.setdefault(t, i)
+    for sites in (1, 3, 4, 100):
+        got = {r.first_doc for r in spread(lines, sites).collect()}
+        assert got == {firsts[t] for t, n in spread_of.items() if n >= sites}
+    assert band(3, 8) == 1 and band(100, 8) == 26
 
 
 def test_importance_resampling(spark, docs, corpus):
