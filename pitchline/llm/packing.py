@@ -1,13 +1,14 @@
 """Best-fit packing of token sequences, bulk-synchronous.
 
-Pieces and gaps are held as sorted runs: a run is all pieces of one length, or a range of sequences with equal gaps.
-A superstep takes the longest run of pieces left, finds its successor among the gaps (the smallest gap that holds
-the length), matches pieces and sequences one to one by rank, so that no two pieces claim the same sequence, and puts
-the sequences back with their smaller gap; where no gap is large enough, new sequences open. That is best-fit
-decreasing, with equal pieces placed together. Ranks are dealt out in parallel: the pieces are ranked within
-(length, slot), a slot holds a bounded number of pieces and the slots' counts give each slot's first rank, so no length, however
-common, comes together in one task. The plan has runs of lengths up to the capacity and not rows; its size depends on
-the capacity alone, which bounds what is broadcast.
+Pieces (of cut documents) and gaps (what is left of the sequences opened so far) are tables. Pieces are taken by size, from the largest class down. A superstep
+1. range-sorts the class's pieces and the gaps that hold the smallest of them, largest first, over many tasks; a gap that holds several of the
+   class offers as many slots, so that one superstep fills it;
+2. sweeps each range for successors: a piece takes the smallest slot left that holds it;
+3. resolves what ranges could not settle among themselves by rank: pieces and slots left over are ranked in their ranges, and a sweep over the ranges' counts
+   (two numbers a range) tells which ranks of pieces meet which ranks of slots;
+4. updates the gaps, and repeats while some piece left still fits in one.
+The class's pieces that no gap holds are dealt over tasks, and each task opens sequences for its share, best fit again; what they leave is gaps for smaller classes.
+Equal lengths are dealt over ranges by a hash, so a common length is no single task's; only counts by range, or by class of size, reach the driver.
 """
 
 from __future__ import annotations
@@ -17,11 +18,11 @@ from bisect import bisect_left, insort
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from .common import cut, lean, rank_in_class, table, unique_documents
+from .common import cut, lean, table, unique_documents
 from .tokens import encoder
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -43,64 +44,168 @@ def _cut_pieces(path: str | None, capacity: int, end_id: int):
     return run
 
 
-def best_fit_plan(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int]]:
-    """counts: pieces by length. Rows (length, first rank, pieces, first sequence, offset).
+_OPENED = "part int, rid long, length long, local long, at long"
+_SWEPT = "part int, kind int, rank long, rid long, length long, seq long, gap long, slot int"
+RANGE_ROWS = 100_000
+CLASSES = (1, 4, 8, 32, 256)  # a class's largest pieces are capacity over these
 
-    Pieces of a length with ranks from `first rank` on go to the sequences from `first sequence` on, at that offset.
+
+def _sweep(batches):
+    """Successor sweep of one range of (size, kind, id, gap, slot), largest first and slots (kind 0) before pieces (1) of equal size.
+
+    Pairs come out as kind 2; slots and pieces that are left, with their ranks. All pieces left are larger than all slots left.
     """
-    plan, gaps, opened = [], [], 0  # gaps: sorted (gap, first sequence, sequences)
-    for length in sorted(counts, reverse=True):
-        left, rank = counts[length], 0
-        while left:
-            at = bisect_left(gaps, (length, -1, -1))
-            if at < len(gaps):
-                gap, seq, n = gaps.pop(at)
-                k = min(n, left)
-                if k < n:
-                    insort(gaps, (gap, seq + k, n - k))
-            else:
-                fit = capacity // length
-                gap, seq = capacity, opened
-                if fit > 1 and left >= fit:  # whole sequences of this length alone, all at once
-                    k = left // fit
-                    for i in range(fit):
-                        plan.append((length, rank + i * k, k, seq, i * length))
-                    opened += k
-                    rank, left = rank + fit * k, left - fit * k
-                    if capacity - fit * length:
-                        insort(gaps, (capacity - fit * length, seq, k))
-                    continue
-                k = left if fit == 1 else 1
-                opened += k
-            plan.append((length, rank, k, seq, capacity - gap))
-            rank, left = rank + k, left - k
-            if gap > length:
-                insort(gaps, (gap - length, seq, k))
-    return plan
-
-
-def _place(plan):
+    if not (batches := list(batches)):
+        return
+    rows = pa.Table.from_batches(batches)
+    kind = rows.column("kind").to_numpy()
+    free, open_, pair = [], [], []
+    for i, k in enumerate(kind.tolist()):
+        if k == 0:
+            free.append(i)
+        elif free:
+            pair.append((i, free.pop()))
+        else:
+            open_.append(i)
+    col = {c: rows.column(c).to_numpy() for c in ("size", "id", "gap", "slot")}
+    p, g = np.array(pair, np.int64).reshape(-1, 2).T
+    part, none = TaskContext.get().partitionId(), np.zeros(0, np.int64)
+    for k, pieces, slots in ((2, p, g), (1, np.array(open_, np.int64), none), (0, none, np.array(free, np.int64))):
+        if n := max(len(pieces), len(slots)):
+            of = lambda c, at: pa.array(col[c][at]) if len(at) else pa.nulls(n, pa.int32() if c == "slot" else pa.int64())  # noqa: B023, E731
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, k, np.int32)), pa.array(np.arange(n)), of("id", pieces), of("size", pieces), of("id", slots), of("gap", slots), of("slot", slots)], names=[f.split()[0] for f in _SWEPT.split(", ")])
+
+
+def _open(capacity: int):
+    """New sequences for a task's pieces (rid, length): best fit on runs of equal lengths and of equal gaps, the longest pieces first."""
+
     def run(batches):
-        p = np.frombuffer(plan.value, np.int64).reshape(-1, 5)  # sorted by (length, first rank)
-        first = p[:, 0] * (1 << 48) + p[:, 1]
-        for b in batches:
-            n, rank = b.column("length").to_numpy(), b.column("rank").to_numpy()
-            at = np.searchsorted(first, n * (1 << 48) + rank, "right") - 1
-            out = b.drop_columns(["rank"])
-            out = out.append_column("sequence_id", pa.array(p[at, 3] + rank - p[at, 1]))
-            yield out.append_column("offset", pa.array(p[at, 4]))
+        if not (batches := list(batches)):
+            return
+        rows = pa.Table.from_batches(batches)
+        rid, length = rows.column("rid").to_numpy(), rows.column("length").to_numpy()
+        order = np.lexsort((rid, -length))
+        local, at = np.empty(len(rid), np.int64), np.empty(len(rid), np.int64)
+        sizes, first, counts = np.unique(-length[order], return_index=True, return_counts=True)
+        gaps, opened = [], 0  # runs (gap, first sequence, sequences), by gap
+        for n, i, left in zip((-sizes).tolist(), first.tolist(), counts.tolist()):
+            while left:
+                j = bisect_left(gaps, (n,))
+                if j < len(gaps):
+                    gap, seq, many = gaps.pop(j)
+                    k = min(many, left)
+                    if k < many:
+                        insort(gaps, (gap, seq + k, many - k))
+                else:
+                    gap, seq, k = capacity, opened, -(-left // (capacity // n))
+                    opened += k
+                here = order[i : i + k]
+                local[here], at[here] = np.arange(seq, seq + k), capacity - gap
+                if gap > n:
+                    insort(gaps, (gap - n, seq, k))
+                i, left = i + k, left - k
+        part = np.full(len(rid), TaskContext.get().partitionId(), np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(rid), pa.array(length), pa.array(local), pa.array(at)], names=[f.split()[0] for f in _OPENED.split(", ")])
 
     return run
 
 
-def pack_pieces(pieces: DataFrame, capacity: int, order: list[str]) -> DataFrame:
-    """Adds sequence_id and offset to pieces of column length, 1 to capacity; the columns of order tell them apart."""
+def settle_ranges(counts: list[tuple[int, int, int]]) -> tuple[list[tuple[int, int, int, int, int]], dict[int, int]]:
+    """counts: (range, pieces left, slots left), largest sizes first. Rows (range, first rank, end rank, range of slots, slot of the first),
+    by which a piece of rank r meets slot `slot of the first - (r - first rank)`, and how many of each range's pieces are settled so."""
+    stack, plan, settled = [], [], {}
+    for part, pieces, slots in counts:
+        done = 0
+        while done < pieces and stack:
+            host, left = stack.pop()
+            k = min(left, pieces - done)
+            plan.append((part, done, done + k, host, left - 1))
+            done += k
+            if left > k:
+                stack.append((host, left - k))
+        settled[part] = done
+        if slots:
+            stack.append((part, slots))
+    return plan, settled
+
+
+class Packing:
+    """The gaps so far, and the places given: (rid, seq, at)."""
+
+    def __init__(self, spark: SparkSession, capacity: int):
+        self.spark, self.capacity, self.steps, self.placed = spark, capacity, 0, []
+        self.gaps = spark.createDataFrame([], "seq long, gap long")
+
+    def place(self, rows: DataFrame) -> None:
+        """rows: (rid, length, seq, at), at 0 in a sequence that opens."""
+        rows = cut(rows, "placed")
+        self.placed.append(rows)
+        opened = rows.where("at = 0").select("seq", F.lit(self.capacity).cast("long").alias("gap"))
+        change = self.gaps.union(opened).union(rows.select("seq", (-F.col("length")).alias("gap")))
+        self.gaps = cut(change.groupBy("seq").agg(F.sum("gap").alias("gap")).where("gap > 0"), "gaps")
+
+    def match(self, pieces: DataFrame, n: int, low: int, high: int) -> tuple[DataFrame, int]:
+        """One superstep for n pieces (rid, length) of lengths low to high: (those left, how many they are)."""
+        self.steps += 1
+        fit = self.gaps.where(F.col("gap") >= low)
+        g = fit.agg(F.count("*").alias("n"), F.count(F.when(F.col("gap") >= high, 1)).alias("wide")).first()
+        most = 2 * -(-n // g.wide) if g.wide and g.wide < n else 1  # slots that a gap may offer, so that there are some for each piece
+        k = F.greatest(F.lit(1), F.least(F.lit(most), F.floor(F.col("gap") / high)))
+        slots = fit.withColumn("k", k.cast("int")).select(F.floor(F.col("gap") / F.col("k")).cast("long").alias("size"), F.lit(0).alias("kind"), F.col("seq").alias("id"), "gap", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("slot"))
+        rows = slots.union(pieces.select(F.col("length").alias("size"), F.lit(1).alias("kind"), F.col("rid").alias("id"), F.lit(0).cast("long").alias("gap"), F.lit(0).alias("slot")))
+        order = [F.desc("size"), F.asc("kind"), F.xxhash64("id", "slot"), F.asc("id"), F.asc("slot")]
+        ranges = max(1, min(self.spark.sparkContext.defaultParallelism, (n + g.n) // 1000), (n + g.n) // RANGE_ROWS)
+        swept = cut(rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(lean(_sweep), _SWEPT), "swept")
+        seen = swept.groupBy("part").agg(F.count(F.when(F.col("kind") == 1, 1)).alias("pieces"), F.count(F.when(F.col("kind") == 0, 1)).alias("slots")).orderBy("part").collect()  # a row a range
+        plan, settled = settle_ranges([(r.part, r.pieces, r.slots) for r in seen])
+        pairs = swept.where("kind = 2").select("rid", "length", "seq", "gap", "slot")
+        left = swept.where("kind = 1").select("part", "rank", "rid", "length")
+        if plan:
+            meet = F.broadcast(self.spark.createDataFrame(plan, "part int, first long, end long, host int, top long"))  # two rows a range at most
+            up = left.join(meet, "part").where("rank >= first and rank < end").select("rid", "length", F.col("host").alias("part"), (F.col("top") - F.col("rank") + F.col("first")).alias("rank"))
+            pairs = pairs.union(up.join(swept.where("kind = 0").select("part", "rank", "seq", "gap", "slot"), ["part", "rank"]).select("rid", "length", "seq", "gap", "slot"))
+            done = F.broadcast(self.spark.createDataFrame(list(settled.items()), "part int, done long"))
+            left = left.join(done, "part").where("rank >= done").drop("done")
+        before = F.sum("length").over(Window.partitionBy("seq").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1))
+        rest = sum(r.pieces for r in seen) - sum(settled.values())
+        if rest < n:
+            self.place(pairs.select("rid", "length", "seq", (F.lit(self.capacity) - F.col("gap") + F.coalesce(before, F.lit(0))).cast("long").alias("at")))
+        return left, rest
+
+    def open(self, pieces: DataFrame, n: int) -> None:
+        """Put n pieces (rid, length) into new sequences."""
+        rows = pieces.select("rid", "length").repartition(max(1, n // RANGE_ROWS), "rid").mapInArrow(lean(_open(self.capacity)), _OPENED)
+        if self.steps >= 1 << 15:
+            raise RuntimeError("pack_pieces: too many supersteps")
+        seq = F.shiftleft(F.lit(self.steps).cast("long"), 48) + F.shiftleft(F.col("part").cast("long"), 24) + F.col("local")
+        self.place(rows.select("rid", "length", seq.alias("seq"), "at"))
+
+
+def pack_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
+    """Adds sequence_id and offset to pieces with a column length, 1 to capacity. Their other columns may have any names but rid, seq and at."""
     spark = pieces.sparkSession
-    lengths = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # capacity rows at most
-    plan = sorted(best_fit_plan(lengths, capacity))
-    shared = spark.sparkContext.broadcast(np.array(plan, np.int64).reshape(-1, 5).tobytes())
-    ranked = rank_in_class(pieces, ["length"], order)
-    return ranked.select(*pieces.columns, "rank").mapInArrow(_place(shared), StructType(list(pieces.schema)).add("sequence_id", "long").add("offset", "long"))
+    pieces = cut(pieces.withColumn("rid", F.monotonically_increasing_id()), "pieces")
+    bounds = sorted({max(1, capacity // c) for c in CLASSES}, reverse=True)
+    class_ = sum((F.col("length") <= b).cast("int") for b in bounds)
+    sizes = pieces.groupBy(class_.alias("class")).agg(F.count("*").alias("n"), F.min("length").alias("low"), F.max("length").alias("high")).orderBy("class").collect()  # a row a class
+    packing = Packing(spark, capacity)
+    for c in sizes:
+        n, low, high = c.n, c.low, c.high
+        left = pieces.where(F.col("length").between(low, high)).select("rid", F.col("length").cast("long").alias("length"))
+        while n:
+            left, n = packing.match(left.select("rid", "length"), n, low, high)
+            if n:
+                low, high = left.agg(F.min("length"), F.max("length")).first()
+                if (packing.gaps.agg(F.max("gap")).first()[0] or 0) < low:
+                    packing.open(left, n)
+                    break
+    if not packing.placed:
+        return pieces.drop("rid").withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
+    places = packing.placed[0]
+    for more in packing.placed[1:]:
+        places = places.union(more)
+    places = places.select("rid", F.col("seq").alias("sequence_id"), F.col("at").alias("offset"))
+    return pieces.join(places, "rid").drop("rid")
 
 
 def pack_documents(documents: DataFrame, capacity: int = 4096, end_id: int = 1, path: str | None = None, repeats: bool = False) -> DataFrame:
@@ -109,16 +214,14 @@ def pack_documents(documents: DataFrame, capacity: int = 4096, end_id: int = 1,
     With repeats, rows that repeat an id are copies of the document, all of them packed, told apart by a column copy.
 
     A null or empty text is the end id alone. Only documents longer than capacity are cut. Repeated ids:
-    unique_documents. Equal lengths are ranked by a hash slot, then doc_id, then piece, so reruns agree.
-    An empty table gives no rows; extra columns are not read.
+    unique_documents. Equal lengths are told apart by a hash of their row. An empty table gives no rows; extra columns are not read.
     """
     docs = documents.select("doc_id", "text").where("doc_id is not null") if repeats else unique_documents(documents, "text")
-    pieces = cut(docs.mapInArrow(lean(_cut_pieces(path, capacity, end_id)), _PIECES), "pieces")
-    order = ["doc_id", "piece"]
+    pieces = docs.mapInArrow(lean(_cut_pieces(path, capacity, end_id)), _PIECES)
     if repeats:
-        nth = F.row_number().over(Window.partitionBy("doc_id", "piece").orderBy("length", "ids_crc32")) - 1
-        pieces, order = cut(pieces.withColumn("copy", nth), "copies"), [*order, "copy"]
-    return pack_pieces(pieces, capacity, order)
+        pieces = cut(pieces, "copies")
+        pieces = pieces.withColumn("copy", F.row_number().over(Window.partitionBy("doc_id", "piece").orderBy("length", "ids_crc32")) - 1)
+    return pack_pieces(pieces, capacity)
 
 
 def packed_ids(documents: DataFrame, packed: DataFrame, capacity: int = 4096, end_id: int = 1, path: str | None = None) -> DataFrame:

@@ -129,7 +129,7 @@ def test_packing_round_trip(docs, corpus):
     import public_tokenizers
     from tokenizers import Tokenizer
 
-    from pitchline.llm.packing import best_fit_plan, pack_documents, packed_ids
+    from pitchline.llm.packing import pack_documents, packed_ids
 
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     rows = pack_documents(docs, capacity=64)
@@ -153,13 +153,62 @@ def test_packing_round_trip(docs, corpus):
     assert len(got) <= -(-total // 64) + 2
     whole = {r.sequence_id: r.ids for r in packed_ids(docs, rows, 64).collect()}
     assert sum(map(len, whole.values())) == total and max(map(len, whole.values())) <= 64
-    counts = {7: 5, 3: 9, 10: 2, 1: 4}
-    plan = best_fit_plan(counts, 10)
-    assert {n: sum(p[2] for p in plan if p[0] == n) for n in counts} == counts
     assert pack_documents(docs.limit(0)).count() == 0
     assert pack_documents(docs.where("doc_id = 3").unionAll(docs.where("doc_id = 3")), repeats=True).select("copy").distinct().count() == 2
 
 
+def best_fit_decreasing(lengths, capacity):
+    from bisect import bisect_left, insort
+
+    gaps, opened = [], 0
+    for n in sorted(lengths, reverse=True):
+        at = bisect_left(gaps, n)
+        if at == len(gaps):
+            opened, gap = opened + 1, capacity
+        else:
+            gap = gaps.pop(at)
+        if gap > n:
+            insort(gaps, gap - n)
+    return opened
+
+
+def test_packing_against_serial_best_fit(spark, monkeypatch):
+    from pitchline.llm import packing
+
+    monkeypatch.setattr(packing, "RANGE_ROWS", 700)  # several ranges, so that ranks decide between them
+    rng = random.Random(3)
+    mixes = {
+        "mixed": [min(4096, max(1, int(rng.lognormvariate(5.5, 1.3)))) for _ in range(6000)],
+        "few large, many small": [3000] * 60 + [33] * 5000,
+        "no small": [rng.randint(1100, 2500) for _ in range(2000)],
+        "ties": [1024] * 900 + [1] * 3000 + [4096] * 5 + [2049] * 300 + [2047] * 300,
+        "one": [5],
+    }
+    for name, lengths in mixes.items():
+        df = spark.createDataFrame([(i, n, 0) for i, n in enumerate(lengths)], "doc_id long, length long, part int").repartition(3)
+        rows = packing.pack_pieces(df, 4096).collect()
+        assert sorted(r.doc_id for r in rows) == list(range(len(lengths)))
+        by = defaultdict(list)
+        for r in rows:
+            by[r.sequence_id].append((r.offset, r.length))
+            assert r.length == lengths[r.doc_id] and r.part == 0
+        for x in by.values():
+            at = 0
+            for offset, n in sorted(x):
+                assert offset == at
+                at += n
+            assert at <= 4096
+        serial, least = best_fit_decreasing(lengths, 4096), -(-sum(lengths) // 4096)
+        assert least <= len(by) <= max(serial + 2, 1.01 * serial), (name, least, serial, len(by))
+
+
+def test_ranges_settle_by_rank():
+    from pitchline.llm.packing import settle_ranges
+
+    plan, settled = settle_ranges([(0, 2, 3), (1, 1, 2), (2, 9, 0), (3, 0, 4)])
+    assert plan == [(1, 0, 1, 0, 2), (2, 0, 2, 1, 1), (2, 2, 4, 0, 1)] and settled == {0: 0, 1: 1, 2: 4, 3: 0}
+
+
 def test_encoder_equals_the_library():
     from pitchline.llm.tokens import Encoder
 
