@@ -8,6 +8,7 @@ about SLICE bytes, so a Python worker's memory follows the longest single text a
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 import uuid
 
@@ -66,13 +67,21 @@ def write_file(uri: str, data, attempt: str) -> None:
     fs.move(tmp, path)
 
 
-def fits_broadcast(df: DataFrame, rows: int = 1_000_000) -> bool:
-    """Whether a narrow table has at most so many rows: counted, not assumed."""
-    return df.limit(rows + 1).count() <= rows
+def fits_broadcast(df: DataFrame, mb: int = 32) -> bool:
+    """Whether a table of numbers and lists of numbers takes at most so many MB as a hash table: counted, not assumed. Others have no bound."""
+    numbers = ("tinyint", "smallint", "int", "bigint", "double", "float", "boolean", "date", "timestamp")
+    lists = [c for c, t in df.dtypes if t in [f"array<{x}>" for x in numbers]]
+    if any(t not in numbers for c, t in df.dtypes if c not in lists):
+        return False
+    row = 48 + 8 * len(df.columns)
+    if not lists:
+        return df.limit((mb << 20) // row + 1).count() <= (mb << 20) // row
+    size = df.agg(F.count("*"), *[F.sum(F.size(c)) for c in lists]).first()
+    return size[0] * row + 8 * sum(x or 0 for x in size[1:]) <= mb << 20
 
 
-def maybe_broadcast(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
-    return F.broadcast(df) if fits_broadcast(df, rows) else df
+def maybe_broadcast(df: DataFrame, mb: int = 32) -> DataFrame:
+    return F.broadcast(df) if fits_broadcast(df, mb) else df
 
 
 # ---------------------------------------------------------------- documents
@@ -80,16 +89,25 @@ def unique_documents(docs: DataFrame, *columns: str, key: str = "doc_id") -> Dat
     """The named columns of documents, one row for each id.
 
     Rows without an id are left out (no result could carry them). Where an id repeats, the row with the
-    smallest text (then the smallest other columns) stands for it; that costs a shuffle of whole rows, so it
+    smallest text (then the smallest other columns, as named) stands for it; that costs a shuffle of whole rows, so it
     is done only if a scan of the ids alone finds a repetition.
     """
-    out = docs.select(key, *columns).where(F.col(key).isNotNull())
+    out = docs.select(key, *[F.col(f"`{c}`") for c in columns]).where(F.col(key).isNotNull())
     if out.select(key).groupBy(key).count().where("count > 1").limit(1).count():
-        rest = F.min(F.struct(*columns)).alias("_r")
-        out = out.groupBy(key).agg(rest).select(key, *[F.col(f"_r.{c}").alias(c) for c in columns])
+        kinds = dict(out.dtypes)
+        row = F.struct(*[F.col(f"`{c}`") for c in columns])
+        order = F.struct(*[F.col(f"`{c}`") for c in columns if not re.search("map<|variant", kinds[c])])  # what can be ordered
+        out = out.groupBy(key).agg(F.min_by(row, order).alias("_r")).select(key, *[F.col(f"_r.`{c}`").alias(c) for c in columns])
     return out
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """name, or what comes of it by underscores in front, so that no column of df has it in any case."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -113,15 +113,9 @@ def mix_sources(documents: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap
     ranked = rank_in_class(docs, ["key", "size"], ["doc_id"])
     extra = F.when(F.col("rank") < F.col("m") % F.col("n"), 1).otherwise(0)
     out = ranked.join(plan, ["key", "size"], "left").withColumn("copies", F.coalesce(F.floor(F.col("m") / F.col("n")) + extra, F.lit(0)).cast("long"))
-    out = out.join(maybe(sources.select("key", "source_size", "target")), "key")
+    out = out.join(sources.select("key", "source_size", "target"), "key")
     return out.select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def maybe(df: DataFrame) -> DataFrame:
-    from .common import maybe_broadcast
-
-    return maybe_broadcast(df, 100_000)
-
-
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

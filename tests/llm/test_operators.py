@@ -476,3 +476,82 @@ def test_pipeline_stages(spark):
     assert [n for n, _ in c.STAGES] == ["toxicity", "line_dedup", "ngram_jaccard_join", "mixing", "best_fit_packing"]
     packed = c.run(spark, d)
     assert packed.count() > 0 and packed.join(before, "doc_id", "left_anti").count() == 0
+
+
+@pytest.fixture(scope="module")
+def odd_documents(spark):
+    """Nulls in all columns, empty and repeated rows, ties, a long text, and names that the stages might use themselves."""
+    rng = random.Random(6)
+    long_ = "\n".join(" ".join(words(rng, 12)) for _ in range(3000))
+    stock = "this line of seven words stands everywhere"
+    some = [" ".join(words(rng, 40)) for _ in range(12)]
+    rows = [(i, t, s) for i, (t, s) in enumerate([*zip(some, "abcabcabcabc"), (some[0], "b"), (some[0] + " end", "c"), (None, "a"), ("", None), ("  ", "b"), (long_, "c"), (long_, None)])]
+    rows += [(30 + i, f"{some[i]} own {i}\n{stock}\nshort one", "abc"[i % 3]) for i in range(6)] + [(40, stock, "a"), (None, some[3], "a"), (0, some[0], "a"), (0, "z", "a"), (None, None, None)]
+    names = ["out", "n_lines", "clean_text", "rest", "_copies", "copies", "_toxicity", "toxicity", "rank", "size", "key", "rid", "piece", "n"]
+    df = spark.createDataFrame([(*r, None if r[0] is None else len(r[1] or "")) for r in rows], "doc_id long, text string, source string, n_chars int")
+    return df.withColumns({x: F.lit(i) for i, x in enumerate(names)}).withColumn("tags", F.create_map(F.lit("a"), F.lit(1))).repartition(3)
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd_documents, monkeypatch):
+    import corpus_pipeline as c
+    from pitchline.llm import toxicity
+
+    net = toxicity.Net(np.zeros(0, np.uint64), np.zeros(0, np.float32))
+    net.shift = 1e9  # nothing is toxic
+    monkeypatch.setattr(c, "fit", lambda docs, labels: net)
+    d, df = "/root/testdata/sf0.001", odd_documents
+    key = lambda x: sorted(map(str, x))
+    plain = lambda x: [(r.doc_id, r.text, r.source) for r in x.collect()]
+    assert key(plain(c.drop_toxic(spark, df, d))) == key(plain(df))
+    chosen = {}
+    for i, t, s in sorted(plain(df), key=lambda r: (r[1] is not None, r[1] or "", r[2] is not None, r[2] or "")):
+        if i is not None:
+            chosen.setdefault(i, (t, s))
+    # line dedup, by brute force
+    held, first = defaultdict(set), {}
+    for i in sorted(chosen):
+        for at, line in enumerate((chosen[i][0] or "").split("\n")):
+            if len(W.findall(line)) >= 5:
+                first.setdefault(line.strip(), (i, at))
+                if chosen[i][1] is not None:
+                    held[line.strip()].add(chosen[i][1])
+    want = {}
+    for i, (t, s) in chosen.items():
+        lines = (t or "").split("\n")
+        kept = [x for at, x in enumerate(lines) if len(held[x.strip()]) < 3 or first[x.strip()] == (i, at)]
+        if kept or not t:
+            want[i] = (None if t is None else "\n".join(kept), s)
+    got = c.drop_boilerplate(spark, df, d)
+    assert got.columns == df.columns and {r.doc_id: (r.text, r.source) for r in got.collect()} == want and got.count() == len(want)
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) and r.rest == 3 and r.tags == {"a": 1} for r in got.collect())
+    # near copies, by brute force
+    sets = {i: (lambda w: {tuple(w[j : j + 5]) for j in range(len(w) - 4)} or ({tuple(w)} if w else set()))(W.findall((t or "").translate(LOWER))) for i, (t, _) in chosen.items()}
+    root = {i: i for i in sets}
+    for a in sorted(sets):
+        for b in sorted(sets):
+            if a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((root[a], root[b]))
+                root = {i: x if r == y else r for i, r in root.items()}
+    got = c.drop_near_copies(spark, df, d)
+    assert got.columns == df.columns and key(plain(got)) == key((i, *chosen[i]) for i in chosen if root[i] == i)
+    # mixing: each row as often as the operator says
+    from pitchline.llm.mixing import mix_sources
+
+    copies = {r.doc_id: r.copies for r in mix_sources(df).collect()}
+    got = c.mix(spark, df, d)
+    assert got.columns == df.columns and key(plain(got)) == key((i, *chosen[i]) for i in chosen for _ in range(copies[i]))
+    # packing: all copies, each token once
+    from pitchline.llm.tokens import Encoder
+
+    enc, packed = Encoder(), c.pack(spark, df, d)
+    total = defaultdict(int)
+    for r in packed.collect():
+        total[r.doc_id] += r.length
+    want = defaultdict(int)
+    for i, t, _ in plain(df):
+        if i is not None:
+            want[i] += len(enc.ids(t)) + 1
+    assert total == want
+    none = df.limit(0)
+    for _, stage in c.STAGES:
+        assert stage(spark, none, d).count() == 0
