@@ -5,8 +5,9 @@ vectors (any word). A GRU reads a window of WINDOW words in both directions; att
 Windows overlap by half and cover the whole text; a document's logit is its highest window's. A shift and scale,
 fitted on training documents that the network has not seen, put the best cut of logits at THRESHOLD.
 
-Training uses at most PER_CLASS labelled documents of each class (smallest id hashes) of at most LONGEST code points and
-PER_DOC windows of each, wherever they lie in the text: documented bounds; scoring has none. The model is broadcast: its size is
+Training uses at most PER_CLASS labelled documents of each class (smallest id hashes), whole: the one bound, a parameter of fit; scoring has none. A
+label says that some window is toxic, not which; so after a first pass over PER_DOC random windows of each text, all windows of all texts
+are scored again and again as training goes on, and the gradient is that of each text's LOUD highest ones. The model is broadcast: its size is
 fixed by VOCAB and the layer sizes.
 """
 
@@ -18,11 +19,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import U, lean, mix, slices, table, text_buffers, unique_documents, word_hashes, word_spans
+from .common import U, lean, mix, release, slices, table, text_buffers, unique_documents, word_hashes, word_spans
 
 WINDOW, STRIDE, DIM, HIDDEN, CHARS, VOCAB = 32, 16, 8, 8, 4096, 20_000
-PER_CLASS, PER_DOC, LONGEST, STEPS, THRESHOLD = 2500, 6, 40_000, 300, 0.3
-_BATCH = 4096
+PER_CLASS, PER_DOC, LOUD, STEPS, THRESHOLD = 2500, 6, 2, 300, 0.3
+_BATCH = 2048
 
 
 def _sigmoid(x):
@@ -48,22 +49,25 @@ def _distinct_words(data, off):
 def _gathered(col: pa.Array):
     """_distinct_words over a whole column, by slices: memory beyond the results is a slice's."""
     data, off = text_buffers(col)
-    ns, words, keys, rows, tris, base = [], [], [], [], [], 0
-    for i, j in slices(off, 1 << 20):
+    ns, words, keys, rows, tris, base, known = [], [], [], [], [], 0, np.zeros(0, np.uint64)
+    for i, j in slices(off):
         n, which, key, row, tri = _distinct_words(data[off[i] : off[j]], off[i : j + 1] - off[i])
         ns.append(n)
         words.append(key[which])
-        keys.append(key)
-        rows.append(row + base)
-        tris.append(tri)
-        base += len(key)
-    key, first = np.unique(np.concatenate(keys), return_index=True)
-    place = np.full(base, -1)
-    place[first] = np.arange(len(key))
+        fresh = ~np.isin(key, known, assume_unique=True)  # trigrams are kept of words not met before
+        kept = fresh[row]
+        keys.append(key[fresh])
+        rows.append((np.cumsum(fresh) - 1)[row[kept]].astype(np.int32) + np.int32(base))
+        tris.append(tri[kept].astype(np.int16))
+        base += int(fresh.sum())
+        known = np.union1d(known, key)
+    key = np.concatenate(keys)
+    rank = np.argsort(key)
+    place = np.empty(base, np.int32)
+    place[rank] = np.arange(base, dtype=np.int32)
     row, tri = place[np.concatenate(rows)], np.concatenate(tris)
-    row, tri = row[row >= 0], tri[row >= 0]
     order = np.argsort(row, kind="stable")
-    return np.concatenate(ns), np.searchsorted(key, np.concatenate(words)), key, row[order], tri[order]
+    return np.concatenate(ns), np.searchsorted(key[rank], np.concatenate(words)).astype(np.int32), key[rank], row[order], tri[order]
 
 
 def _window_rows(n: np.ndarray):
@@ -100,11 +104,12 @@ class Net:
 
     def inputs(self, wid, row, tri, n):
         """(n, 2*DIM) inputs of n words given their rows and trigrams."""
-        c = np.empty((n, DIM), np.float32)
+        out = np.empty((n, 2 * DIM), np.result_type(self.p["words"], self.p["chars"]))
+        out[:, :DIM] = self.p["words"][wid]
         size = np.maximum(np.bincount(row, minlength=n), 1)
         for k in range(DIM):
-            c[:, k] = np.bincount(row, self.p["chars"][tri, k], n) / size
-        return np.concatenate([self.p["words"][wid], c], 1)
+            out[:, DIM + k] = np.bincount(row, self.p["chars"][tri, k], n) / size
+        return out
 
     def _walk(self, way, gate, at, mask, keep):
         """GRU states (steps, windows, HIDDEN); gate: per distinct word, the inputs' share of the three gates."""
@@ -172,8 +177,11 @@ class Net:
         for i in range(0, len(first), _BATCH):
             step = np.arange(int(size[i : i + _BATCH].max()))
             mask = (step < size[i : i + _BATCH, None]).astype(np.float32)
-            at = which[np.minimum(first[i : i + _BATCH, None] + step, len(which) - 1)]
-            out[i : i + _BATCH] = self.forward(x, at, mask)
+            at, mine = which[np.minimum(first[i : i + _BATCH, None] + step, len(which) - 1)], x
+            if len(x) > at.size // 2:  # gates are made for all words given: of very many, for the batch's alone
+                here, at = np.unique(at, return_inverse=True)
+                mine, at = x[here], at.reshape(-1, len(step))
+            out[i : i + _BATCH] = self.forward(mine, at, mask)
         return out
 
     def logits(self, col: pa.Array) -> np.ndarray:
@@ -206,10 +214,10 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 3) -> Net:
         net.shift = 1e9
         return net
     n, which, key, row, tri = _gathered(pa.array(texts, pa.large_string()))
-    owner = np.repeat(np.arange(len(n)), n)
-    pair = np.unique(which.astype(np.int64) * len(n) + owner)  # each word once a text
+    pair = np.unique(which.astype(np.int64) * len(n) + np.repeat(np.arange(len(n)), n))  # each word once a text
     word, text = pair // len(n), pair % len(n)
     word, text = word[~held[text]], text[~held[text]]
+    del pair
     toxic, both = np.bincount(word, labels[text], len(key)), np.bincount(word, minlength=len(key))
     t1, t0 = labels[~held].sum(), (1 - labels[~held]).sum()
     odds = np.log((toxic + 0.5) / (t1 + 1)) - np.log((both - toxic + 0.5) / (t0 + 1))
@@ -229,12 +237,12 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 3) -> Net:
     tri_at = np.searchsorted(row, np.arange(len(key) + 1))
     epochs = int(np.clip(STEPS // max(1, 2 * len(texts) // 256), 10, 60))
     for epoch in range(epochs):
-        if epoch in (1, 2, 4, 8, 16, 32):  # the windows that speak loudest in their texts, beside some at random
+        if epoch in (1, 2, 4, 8, 16, 32):  # the windows that speak loudest in their texts
             x = net.inputs(wid, row, tri, len(key))
             loud = net.windows(x, which, first, size)
             order = np.lexsort((-loud, owner))
             nth = np.arange(len(order)) - np.searchsorted(owner[order], owner[order])
-            pool = order[nth < 2]
+            pool = order[nth < LOUD]
             pool = pool[~held[owner[pool]]]
         rate = 0.01 * (1 - 0.9 * epoch / epochs)
         pool = rng.permutation(pool)
@@ -273,6 +281,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 3) -> Net:
     top = np.flatnonzero(np.array(f1) >= max(f1) - 1e-12)
     net.shift = float(mids[top[len(top) // 2]])
     net.scale = float(np.clip(4 / max(np.std(z), 1e-6), 0.3, 3.0))
+    release()
     return net
 
 
@@ -281,15 +290,20 @@ def held_out(doc_id) -> "F.Column":
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
 
-def fit(documents: DataFrame, labels: DataFrame) -> Net:
-    """Train on labelled documents that are not held out; a repeated label counts as toxic if any is."""
+def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Net:
+    """Train on labelled documents that are not held out; a repeated label counts as toxic if any is, of a repeated document the smallest text.
+
+    Null ids, labels and texts and empty texts teach nothing.
+    """
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id")))
-    docs = documents.where(F.length("text").between(1, LONGEST)).select("doc_id", "text")
-    rows = []
+    docs = documents.where(F.length("text") > 0).select("doc_id", "text")
+    known = docs.select("doc_id").join(marks, "doc_id", "left_semi").distinct()
+    rows = {}
     for kind in (0, 1):
-        some = marks.where(F.col("toxic") == kind).orderBy(F.xxhash64("doc_id"), "doc_id").limit(PER_CLASS)
-        rows += docs.join(F.broadcast(some), "doc_id").select("doc_id", "text", "toxic").collect()  # PER_CLASS rows at most
-    rows.sort(key=lambda r: (r.doc_id * 2654435761 % 2**32, r.doc_id))
+        some = marks.where(F.col("toxic") == kind).join(known, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        for r in docs.join(F.broadcast(some), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect():  # per_class rows at most
+            rows[r.doc_id] = r
+    rows = sorted(rows.values(), key=lambda r: (r.doc_id * 2654435761 % 2**32, r.doc_id))
     return train([r.text for r in rows], np.array([r.toxic for r in rows]))
 
 
