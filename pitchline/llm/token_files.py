@@ -1,10 +1,11 @@
 """Token ids in binary shards, with a minimal perfect hash index from document key to place.
 
 Shard: the raw ids of its documents, ascending by doc_id, as little-endian unsigned integers and nothing else.
-Index: keys are dealt over buckets by hash. A bucket's function is a cascade of bit arrays: a key that is alone on
-its bit at a level is placed there, the others go on to the next level; the rank of a key's bit among all bits set is
-its slot, so n keys fill exactly n slots. A slot stores a 32-bit fingerprint of its key and shard, offset and count, so
-a look-up reads one slot whatever the number of keys, and an unknown key is refused unless its fingerprint collides.
+Index: keys are dealt over buckets by hash, about BUCKET_KEYS to a bucket, which is a file. A bucket's function is a cascade of bit arrays: a key that is
+alone on its bit at a level is placed there, the others go on to the next level; the rank of a key's bit among all bits set is
+its slot, so n keys fill exactly n slots. Beside each word of 64 bits stands how many bits are set before it, so a rank is one word and one
+number. A slot stores a 32-bit fingerprint of its key and shard, offset and count: a look-up reads one word a level, few levels and one
+slot whatever the number of keys, and an unknown key is refused unless its fingerprint collides.
 
 Every file is written under a temporary name and then renamed, so a task that runs twice leaves one whole file.
 """
@@ -48,42 +49,67 @@ def build_levels(keys: np.ndarray) -> list[np.ndarray]:
     return levels
 
 
-def slots_of(keys: np.ndarray, levels: list[np.ndarray]) -> np.ndarray:
-    """Slot of each key, -1 where no level has its bit."""
-    slot, open_, base = np.full(len(keys), -1, np.int64), np.arange(len(keys)), 0
-    for i, bits in enumerate(levels):
-        rank = np.cumsum(bits)
-        pos = _at(keys[open_], i, len(bits))
-        hit = bits[pos]
-        slot[open_[hit]] = base + rank[pos[hit]] - 1
-        open_, base = open_[~hit], base + int(rank[-1])
+def directory(levels: list[np.ndarray]) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(bits, words of 64 bits, bits set before each word in this level and those before) of each level."""
+    out, base = [], 0
+    for bits in levels:
+        padded = np.zeros(-(-len(bits) // 64) * 64, bool)
+        padded[: len(bits)] = bits
+        words = np.packbits(padded, bitorder="little").view("<u8")
+        ranks = np.bitwise_count(words).cumsum(dtype=np.uint32)
+        out.append((len(bits), words, np.concatenate([[0], ranks[:-1]]).astype("<u4") + np.uint32(base)))
+        base += int(ranks[-1])
+    return out
+
+
+def slots_of(keys: np.ndarray, levels) -> np.ndarray:
+    """Slot of each key by the levels' directory, -1 where no level has its bit."""
+    slot, open_ = np.full(len(keys), -1, np.int64), np.arange(len(keys))
+    for i, (size, words, ranks) in enumerate(levels):
+        pos = _at(keys[open_], i, size)
+        word, bit = words[pos >> 6], (pos & 63).astype(np.uint64)
+        hit = (word >> bit) & U(1) == 1
+        below = word & ((U(1) << bit) - U(1))
+        slot[open_[hit]] = ranks[pos[hit] >> 6].astype(np.int64) + np.bitwise_count(below[hit])
+        open_ = open_[~hit]
     return slot
 
 
 def pack_index(keys: np.ndarray, entries: np.ndarray) -> bytes:
-    levels = build_levels(keys)
+    levels = directory(build_levels(keys))
     table_ = np.zeros(len(keys), SLOT)
     table_[slots_of(keys, levels)] = entries
-    head = np.array([len(keys), len(levels), *map(len, levels)], "<u8").tobytes()
-    return head + b"".join(np.packbits(x).tobytes() for x in levels) + table_.tobytes()
+    head = np.array([len(keys), len(levels), *[n for n, _, _ in levels]], "<u8").tobytes()
+    return head + b"".join(w.tobytes() + r.tobytes() for _, w, r in levels) + table_.tobytes()
 
 
-def read_index(data: bytes) -> tuple[list[np.ndarray], np.ndarray]:
+def read_index(data: bytes):
     n, k = np.frombuffer(data, "<u8", 2).tolist()
     sizes, at, levels = np.frombuffer(data, "<u8", k, 16).tolist(), 16 + 8 * k, []
     for s in sizes:
-        b = (s + 7) // 8
-        levels.append(np.unpackbits(np.frombuffer(data, np.uint8, b, at), count=s).astype(bool))
-        at += b
+        w = -(-s // 64)
+        levels.append((s, np.frombuffer(data, "<u8", w, at), np.frombuffer(data, "<u4", w, at + 8 * w)))
+        at += 12 * w
     return levels, np.frombuffer(data, SLOT, n, at)
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (mix(keys.view(np.uint64) ^ U(0xB0C4E7)) % U(buckets)).astype(np.int32)
+    """pmod(xxhash64(key), buckets), as Spark computes it: XXH64 of eight bytes with seed 42."""
+    p1, p2, p3, p4, p5 = U(0x9E3779B185EBCA87), U(0xC2B2AE3D27D4EB4F), U(0x165667B19E3779F9), U(0x85EBCA77C2B2AE63), U(0x27D4EB2F165667C5)
+    turn = lambda x, n: (x << U(n)) | (x >> U(64 - n))
+    h = np.full(len(keys), p5 + U(50)) ^ (turn(keys.view(np.uint64) * p2, 31) * p1)
+    h = turn(h, 27) * p1 + p4
+    h = (h ^ (h >> U(33))) * p2
+    h = (h ^ (h >> U(29))) * p3
+    return ((h ^ (h >> U(32))).view(np.int64) % buckets).astype(np.int32)
+
+
+def bucket_expr(key, buckets: int):
+    return F.pmod(F.xxhash64(F.col(key).cast("long")), F.lit(buckets)).cast("int")
 
 
 # ---------------------------------------------------------------- writing and reading
-def _write_shard(path: str, tokenizer: str | None, end_id: int, buckets: int):
+def _write_shard(path: str, tokenizer: str | None, end_id: int):
     """One partition, sorted by doc_id, becomes one shard; rows tell each document's place in it."""
 
     def run(batches):
@@ -104,7 +130,7 @@ def _write_shard(path: str, tokenizer: str | None, end_id: int, buckets: int):
 
         write_file(f"{path}/shard-{shard:06d}.bin", payload(), f"{ctx.stageId()}-{ctx.taskAttemptId()}")
         for ids, off, c in places:
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.full(len(ids), shard, np.int32)), pa.array(off), pa.array(c), pa.array(bucket_of(ids, buckets))], names=["doc_id", "shard", "offset", "n", "bucket"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(np.full(len(ids), shard, np.int32)), pa.array(off), pa.array(c)], names=["doc_id", "shard", "offset", "n"])
 
     return run
 
@@ -132,8 +158,8 @@ def write_token_files(documents: DataFrame, path: str, end_id: int = 2, tokenize
     size = docs.agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("c")).first()
     shards, buckets = max(1, -(-(size.c or 0) // SHARD_CHARS)), max(1, -(-size.n // BUCKET_KEYS))
     ordered = docs.repartitionByRange(max(shards, min(spark.sparkContext.defaultParallelism, size.n or 1)), "doc_id").sortWithinPartitions("doc_id")
-    places = cut(ordered.mapInArrow(lean(_write_shard(path, tokenizer, end_id, buckets)), "doc_id long, shard int, offset long, n long, bucket int"), "places")
-    places.groupBy("bucket").applyInArrow(_write_bucket(path), "bucket int, keys long").agg(F.count("*"), F.sum("keys")).first()
+    places = cut(ordered.mapInArrow(lean(_write_shard(path, tokenizer, end_id)), "doc_id long, shard int, offset long, n long"), "places")
+    places.withColumn("bucket", bucket_expr("doc_id", buckets)).groupBy("bucket").applyInArrow(_write_bucket(path), "bucket int, keys long").agg(F.count("*"), F.sum("keys")).first()
     totals = [(r.shard, r.n) for r in places.groupBy("shard").agg(F.sum("n").alias("n")).orderBy("shard").collect()]  # a row a shard
     starts, at = {}, 0
     for s, n in totals:
@@ -163,7 +189,7 @@ class TokenReader:
         for b in np.unique(of):
             here = np.flatnonzero(of == b)
             if b not in self.index:
-                if len(self.index) >= 64:
+                if len(self.index) >= 16:
                     self.index.clear()
                 file = f"{self.root}/index-{b:06d}.mph"
                 if self.fs.get_file_info(file).type == pa.fs.FileType.NotFound:
@@ -222,9 +248,16 @@ def _digest(path: str, starts):
 
 
 def read_token_files(keys: DataFrame, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of the keys, each found through the index and read from its shard."""
-    found = keys.select("doc_id").mapInArrow(lean(_find(path)), "doc_id long, shard int, offset long, n long")
-    return found.repartition("shard").sortWithinPartitions("shard", "offset").mapInArrow(lean(_digest(path, None)), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    """(doc_id, start, n_tokens, ids_crc32) of the keys, each found through the index and read from its shard.
+
+    Keys are dealt by bucket, so that a task reads an index file once; what is found is dealt by shard. Numbers of tasks are given, since
+    a row's work is its file's and not its own size.
+    """
+    meta = read_meta(path)
+    by_bucket = keys.select(F.col("doc_id").cast("long").alias("doc_id")).withColumn("bucket", bucket_expr("doc_id", meta["buckets"])).repartition(meta["buckets"], "bucket").sortWithinPartitions("bucket").select("doc_id")
+    found = by_bucket.mapInArrow(lean(_find(path)), "doc_id long, shard int, offset long, n long")
+    found = found.repartition(max(1, len(meta["starts"])), "shard").sortWithinPartitions("shard", "offset")
+    return found.mapInArrow(lean(_digest(path, None)), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

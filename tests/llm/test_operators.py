@@ -220,12 +220,17 @@ def test_encoder_equals_the_library():
 
 
 def test_token_files(spark, docs, corpus, tmp_path):
-    from pitchline.llm.token_files import TokenReader, build_levels, op6_token_files, read_token_files, slots_of, write_token_files  # noqa: F401
+    from pitchline.llm.token_files import SLOT, TokenReader, bucket_expr, bucket_of, build_levels, directory, pack_index, read_index, read_token_files, slots_of, write_token_files
     from pitchline.llm.tokens import Encoder
 
     keys = np.random.default_rng(1).integers(-(2**62), 2**62, 5000)
-    levels = build_levels(keys)
-    assert sorted(slots_of(keys, levels)) == list(range(5000))
+    levels = directory(build_levels(keys))
+    slots = slots_of(keys, levels)
+    assert sorted(slots) == list(range(5000))
+    again, entries = read_index(pack_index(keys, np.zeros(5000, SLOT)))
+    assert (slots_of(keys, again) == slots).all() and len(entries) == 5000
+    rows = spark.createDataFrame([(int(k),) for k in keys[:500]], "doc_id long").select("doc_id", bucket_expr("doc_id", 37).alias("b")).collect()
+    assert [r.b for r in rows] == bucket_of(np.array([r.doc_id for r in rows]), 37).tolist()
     path, enc, start = f"file://{tmp_path}/t", Encoder(), 0
     write_token_files(docs, path)
     rows = {r.doc_id: r for r in read_token_files(docs.where("doc_id is not null").select("doc_id").distinct(), path).collect()}
