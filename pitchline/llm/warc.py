@@ -168,7 +168,8 @@ def read_warc(files: DataFrame) -> DataFrame:
                     if rows:
                         yield _batch(rows)
 
-    return files.select("file").repartition("file").mapInArrow(run, _ROWS)
+    names = files.select("file")
+    return names.repartition(max(1, names.count()), "file").mapInArrow(lean(run), _ROWS)  # a number: else few rows, of much work, meet in one task
 
 
 def _batch(rows):
