@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from .common import U, cut, lean, mix, maybe_broadcast, slices, table, text_buffers, unique_documents, word_hashes, word_spans
 
 BITS, SEED, FRACTION, EFFECTIVE = 16, 11, 0.75, 100
-_BINS = 4096
+_BINS, CHUNK = 4096, 4096
 
 
 def _grams(col: pa.Array, bits: int):
@@ -36,6 +36,8 @@ def _grams(col: pa.Array, bits: int):
 
 
 def _count(bits: int):
+    """A task's counts, as rows of CHUNK buckets each."""
+
     def run(batches):
         total = np.zeros(1 << bits, np.int64)
         for b in batches:
@@ -48,28 +50,32 @@ def _count(bits: int):
                     held, size = [], 0
             if held:
                 total += np.bincount(np.concatenate(held), minlength=1 << bits)
-        if total.any():
-            yield pa.RecordBatch.from_pydict({"counts": pa.array([total.tobytes()], pa.binary())})
+        parts = total.reshape(-1, min(CHUNK, 1 << bits))
+        some = np.flatnonzero(parts.any(1))
+        if len(some):
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array([parts[i].tobytes() for i in some], pa.binary())], names=["chunk", "counts"])
 
     return run
 
 
 def _sum(batches):
-    total = None
+    total: dict[int, np.ndarray] = {}
     for b in batches:
-        for x in b.column(0):
-            y = np.frombuffer(x.as_buffer(), np.int64)
-            total = y.copy() if total is None else total + y
-    if total is not None:
-        yield pa.RecordBatch.from_pydict({"counts": pa.array([total.tobytes()], pa.binary())})
+        for c, x in zip(b.column(0).to_pylist(), b.column(1)):
+            x = np.frombuffer(x.as_buffer(), np.int64)
+            total[c] = total[c] + x if c in total else x.copy()
+    if total:
+        yield pa.RecordBatch.from_arrays([pa.array(total, pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], names=["chunk", "counts"])
 
 
 def gram_model(texts: DataFrame, bits: int = BITS) -> np.ndarray:
-    """Counts by bucket over all rows of column text; partial counts are streamed together, 2**bits numbers each."""
-    part = cut(texts.select("text").mapInArrow(lean(_count(bits)), "counts binary"), "grams")
-    groups = max(1, min(64, part.count() // 32))
-    rows = part.repartition(groups).mapInArrow(_sum, "counts binary").collect()  # at most 64 rows of fixed size
-    return sum((np.frombuffer(r.counts, np.int64) for r in rows), np.zeros(1 << bits, np.int64))
+    """Counts by bucket over all rows of column text. Partial counts are dealt by range of buckets and summed there; 2**bits numbers reach the driver."""
+    part = texts.select("text").mapInArrow(lean(_count(bits)), "chunk int, counts binary")
+    rows = part.repartition(max(1, (1 << bits) // CHUNK), "chunk").mapInArrow(_sum, "chunk int, counts binary").collect()  # a row a chunk
+    out = np.zeros(1 << bits, np.int64)
+    for r in rows:
+        out[r.chunk * CHUNK :][: len(r.counts) // 8] = np.frombuffer(r.counts, np.int64)
+    return out
 
 
 def _score(ratio, bits: int, effective: int):
