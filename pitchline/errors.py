@@ -73,3 +73,7 @@ class NoModelsTrainedError(PitchlineError):
 
 class FeatureMismatchError(PitchlineError):
     pass
+
+
+class ModelLoadError(PitchlineError):
+    pass

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
-#: Tried in this order; month first where both orders fit.
-DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "M/d/yyyy", "d/M/yyyy", "M/d/yy", "d/M/yy", "d-M-yyyy", "yyyy/M/d", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy")
+#: Tried in this order, on text alone; month first where both orders fit. A fraction has up to nine digits.
+DATE_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS]", "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]", "M/d/yyyy", "d/M/yyyy", "M/d/yy", "d/M/yy", "d-M-yyyy", "yyyy/M/d", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy")
 
 
 def ratio(x: Column, n: Column) -> Column:
@@ -15,17 +16,23 @@ def ratio(x: Column, n: Column) -> Column:
 
 
 def strip(c) -> Column:
-    """White space of any kind off both ends."""
-    return F.regexp_replace(F.regexp_replace(c, r"^\s+", ""), r"\s+$", "")
+    """ASCII white space off both ends."""
+    return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(" \t\n\x0b\x0c\r"))
 
 
 def parse_date(c, formats=DATE_FORMATS) -> Column:
-    """A timestamp by the first format that fits, else null; the column may already be one."""
-    c = F.col(c) if isinstance(c, str) else c
-    text = strip(c.cast("string"))
+    """A timestamp from text by the first format that fits, else null."""
+    text = strip((F.col(c) if isinstance(c, str) else c).cast("string"))
     return F.coalesce(*[F.try_to_timestamp(text, F.lit(f)) for f in formats])
 
 
+def date_column(df: DataFrame, name: str = "Date") -> Column:
+    """A column as a timestamp: dates and timestamps as they are, text by parse_date."""
+    if isinstance(df.schema[name].dataType, (DateType, TimestampType, TimestampNTZType)):
+        return F.col(f"`{name}`").cast("timestamp")
+    return parse_date(F.col(f"`{name}`"))
+
+
 def to_number(c, kind: str = "double") -> Column:
     c = F.col(c) if isinstance(c, str) else c
     return c.try_cast(kind)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import asdict, dataclass, field
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import EvaluationError
 from ..functions.expr import ratio
+from ..operators.order import slot, sums_before
+from ..sources.files import append_metrics, save_json
 
 
 def confusion(df: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -23,10 +28,12 @@ def metrics(df: DataFrame, label: str = "label", prediction: str = "prediction")
 
 
 def roc_auc(df: DataFrame, label: str = "label", score: str = "probability") -> DataFrame:
-    """One row, auc: Mann-Whitney with half for ties; the running sum is over distinct scores."""
+    """One row, auc: Mann-Whitney with half for ties; distinct scores are summed up slot by slot."""
     by = df.groupBy(F.col(score).alias("s")).agg(F.sum((F.col(label) == 1).cast("long")).alias("p"), F.sum((F.col(label) == 0).cast("long")).alias("q"))
-    below = F.coalesce(F.sum("q").over(Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    t = by.withColumn("below", below).agg(F.sum(F.col("p") * (F.col("below") + F.col("q") / 2)).alias("u"), F.sum("p").alias("p"), F.sum("q").alias("q"))
+    by = by.withColumn("slot", slot(df.select(F.col(score).alias("s")), "s"))
+    within = F.coalesce(F.sum("q").over(Window.partitionBy("slot").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    by = by.withColumn("within", within).join(F.broadcast(sums_before(by, [], "slot", F.col("q"), "before")), "slot").withColumn("below", F.col("before") + F.col("within"))
+    t = by.agg(F.sum(F.col("p") * (F.col("below") + F.col("q") / 2)).alias("u"), F.sum("p").alias("p"), F.sum("q").alias("q"))
     return t.select(F.when(F.col("p") * F.col("q") > 0, F.col("u") / (F.col("p") * F.col("q"))).alias("auc"))
 
 
@@ -60,8 +67,38 @@ def rank(results: dict[str, dict], metric: str = "f1", higher: bool = True) -> l
 
 
 def folds(df: DataFrame, k: int, label: str | None = None, key: str = "match_seq", seed: int = 42) -> DataFrame:
-    """Adds fold 0..k-1, even within each label, by a seeded hash order."""
+    """Adds fold 0..k-1: within each label, rows are numbered by a seeded hash order and dealt in turn, so folds are exact k-ths of it."""
     if k < 2:
         raise EvaluationError("at least two folds")
-    w = Window.partitionBy(*([label] if label else [F.lit(1)]), F.pmod(F.xxhash64(key), F.lit(64))).orderBy(F.xxhash64(F.lit(seed), F.col(key)), key)
-    return df.withColumn("fold", ((F.row_number().over(w) + F.pmod(F.xxhash64(key), F.lit(64))) % k).cast("int"))
+    keys = [label] if label else []
+    rows = df.withColumn("_k", F.xxhash64(F.lit(seed), F.col(key))).withColumn("_slot", F.shiftright("_k", 58))
+    within = F.row_number().over(Window.partitionBy(*keys, "_slot").orderBy("_k", key)) - 1
+    starts = sums_before(rows, keys, "_slot", F.lit(1), "_before")
+    rows = rows.withColumn("_within", within).alias("a").join(F.broadcast(starts).alias("b"), [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*keys, "_slot")])
+    return rows.select(*[F.col(f"a.`{c}`") for c in df.columns], ((F.col("b._before") + F.col("a._within")) % k).cast("int").alias("fold"))
+
+
+@dataclass
+class EvaluationMetadata:
+    """What an evaluation was of: model and version, data, rows, how they were split."""
+
+    model: str
+    dataset: str
+    rows: int
+    split: str = "holdout"
+    version: str = "1"
+    hyperparameters: dict = field(default_factory=dict)
+    created: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
+
+    def to_dict(self) -> dict:
+        return asdict(self) | {"created": self.created.isoformat()}
+
+
+def export_json(spark, metrics: dict, metadata: EvaluationMetadata, path: str) -> None:
+    save_json(spark, {"metadata": metadata.to_dict(), "metrics": metrics}, path)
+
+
+def export_csv(spark, metrics: dict, metadata: EvaluationMetadata, path: str) -> None:
+    """One more line of the metadata and the scalar metrics."""
+    head = {k: v for k, v in metadata.to_dict().items() if k != "hyperparameters"}
+    append_metrics(spark, head | metrics, path)

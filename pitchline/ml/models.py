@@ -5,7 +5,10 @@ from __future__ import annotations
 import json
 import time
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -13,7 +16,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..errors import EvaluationError, FeatureMismatchError, NoModelsTrainedError
+from ..errors import DatasetNotFoundError, EvaluationError, FeatureMismatchError, ModelLoadError, NoModelsTrainedError
+from ..sources.files import exists, load_json, modified, save_json
 from . import evaluate as E
 
 REGISTRY = {
@@ -54,6 +58,15 @@ def train(df: DataFrame, features: list[str], label: str = "label", algorithm: s
     return Training(algorithm, features, model, n, score(df), score(validation) if validation is not None else None, seed, time.time() - began)
 
 
+def check_input(t: Training, df: DataFrame) -> None:
+    """Columns of the training there, and at least one row; else FeatureMismatchError."""
+    missing = [c for c in t.features if c not in df.columns]
+    if missing:
+        raise FeatureMismatchError(f"missing: {', '.join(missing)}")
+    if df.isEmpty():
+        raise FeatureMismatchError("no rows to predict")
+
+
 def predict(t: Training, df: DataFrame) -> DataFrame:
     """Adds prediction, probabilities (by label) and confidence; any number of rows."""
     missing = [c for c in t.features if c not in df.columns]
@@ -65,7 +78,7 @@ def predict(t: Training, df: DataFrame) -> DataFrame:
 
 def outcome_probabilities(predicted: DataFrame, labels: list[str]) -> DataFrame:
     """home_win, draw, away_win by stored label names, 0 for a class that the model never saw."""
-    at = lambda name: F.col("probabilities")[labels.index(name)] if name in labels else F.lit(0.0)
+    at = lambda name: F.coalesce(F.get("probabilities", F.lit(labels.index(name))), F.lit(0.0)) if name in labels else F.lit(0.0)
     return predicted.withColumns({n.lower(): at(n) for n in ("HOME_WIN", "DRAW", "AWAY_WIN")})
 
 
@@ -106,17 +119,80 @@ def select(df: DataFrame, test: DataFrame, features: list[str], label: str = "la
 
 
 def save(t: Training, path: str, more: dict | None = None) -> None:
-    t.model.write().overwrite().save(f"{path}/model")
-    meta = json.dumps(t.metadata() | (more or {}))
     from pyspark.sql import SparkSession
 
-    SparkSession.active().createDataFrame([(meta,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/metadata")
+    t.model.write().overwrite().save(f"{path}/model")
+    save_json(SparkSession.active(), t.metadata() | (more or {}), f"{path}/metadata.json")
 
 
 def load(path: str) -> Training:
     from pyspark.sql import SparkSession
 
-    meta = json.loads(SparkSession.active().read.text(f"{path}/metadata").first()[0])
-    keep = {k: meta[k] for k in ("algorithm", "features", "train_rows", "train_score", "validation_score", "seed", "seconds")}
-    return Training(model=PipelineModel.load(f"{path}/model"), **keep)
+    spark = SparkSession.active()
+    try:
+        meta = load_json(spark, f"{path}/metadata.json")
+        keep = {k: meta[k] for k in ("algorithm", "features", "train_rows", "train_score", "validation_score", "seed", "seconds")}
+        return Training(model=PipelineModel.load(f"{path}/model"), **keep)
+    except (PySparkException, Py4JJavaError, KeyError, ValueError) as e:
+        raise ModelLoadError(f"{path}: {str(e).splitlines()[0]}") from e
+
+
+BEST = "best_model"
 
+
+def persist_best(t: Training, directory: str, more: dict | None = None) -> str:
+    """Save under directory as the best model and, beside it, under its name and time; the latter's path."""
+    path = f"{directory}/{t.algorithm}_{datetime.now(timezone.utc):%Y%m%dT%H%M%S%f}"
+    save(t, path, more)
+    save(t, f"{directory}/{BEST}", more)
+    return path
+
+
+def load_best(directory: str) -> Training:
+    """The best model of a directory, or where there is none the one saved last."""
+    from pyspark.sql import SparkSession
+
+    spark = SparkSession.active()
+    if exists(spark, f"{directory}/{BEST}"):
+        return load(f"{directory}/{BEST}")
+    try:
+        found = [p for _, p in modified(spark, directory) if exists(spark, f"{p}/metadata.json")]
+    except DatasetNotFoundError as e:
+        raise ModelLoadError(f"no directory {directory}") from e
+    if not found:
+        raise ModelLoadError(f"no models in {directory}")
+    return load(found[0])
+
+
+@dataclass
+class PredictionMetadata:
+    model: str
+    milliseconds: float
+    confidence: float
+    rows: int = 1
+    created: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
+
+    def to_dict(self) -> dict:
+        return {k: v.isoformat() if isinstance(v, datetime) else v for k, v in self.__dict__.items()}
+
+
+class MatchPredictor:
+    """Predictions by a directory's best model; labels are the class names by the model's class numbers."""
+
+    def __init__(self, directory: str, labels=("AWAY_WIN", "DRAW", "HOME_WIN")):
+        self.training, self.labels = load_best(directory), list(labels)
+
+    def predict(self, df: DataFrame) -> DataFrame:
+        """Any number of matches: home_win, draw, away_win and confidence beside them."""
+        check_input(self.training, df)
+        return outcome_probabilities(predict(self.training, df), self.labels)
+
+    def predict_one(self, df: DataFrame) -> tuple[dict[str, float], float, PredictionMetadata]:
+        """(outcomes, confidence, metadata with the time it took) of a table of one match."""
+        began = time.time()
+        rows = self.predict(df).select("home_win", "draw", "away_win", "confidence").limit(2).collect()
+        if len(rows) != 1:
+            raise FeatureMismatchError("one match is asked for")
+        r = rows[0].asDict()
+        confidence = r.pop("confidence")
+        return r, confidence, PredictionMetadata(self.training.algorithm, 1000 * (time.time() - began), confidence)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.expr import parse_date, strip, to_number
+from ..functions.expr import date_column, strip, to_number
 from ..schema import MATCHES, SEQ, TYPES, MatchSchema
+from .order import ranked
 
 
 def remove_duplicates(df: DataFrame) -> DataFrame:
@@ -22,21 +23,21 @@ def standardize_names(df: DataFrame, columns=("HomeTeam", "AwayTeam")) -> DataFr
 
 
 def convert_dates(df: DataFrame, column: str = "Date") -> DataFrame:
-    return df.withColumn(column, parse_date(column))
+    return df.withColumn(column, date_column(df, column))
 
 
-def _typed(c: str, kind: str) -> Column:
+def _typed(df: DataFrame, c: str, kind: str) -> Column:
     if kind == "integer":
         return F.coalesce(to_number(F.when(~F.isnan(to_number(c)) & (F.abs(to_number(c)) < 9.2e18), to_number(c)), "double"), F.lit(0.0)).cast("long")
     if kind == "float":
         return to_number(c)
-    return parse_date(c) if kind == "date" else F.col(c).cast("string")
+    return date_column(df, c) if kind == "date" else F.col(c).cast("string")
 
 
 def convert_types(df: DataFrame, schema: MatchSchema = MATCHES) -> DataFrame:
     """Integers: coerced, missing 0, truncated; floats and dates: coerced; strings: cast."""
     kinds = {c: k for c, k in schema.kinds().items() if c in df.columns}
-    return df.withColumns({c: _typed(c, k) for c, k in kinds.items() if df.schema[c].dataType != TYPES[k]})
+    return df.withColumns({c: _typed(df, c, k) for c, k in kinds.items() if df.schema[c].dataType != TYPES[k]})
 
 
 def fill_missing(df: DataFrame, schema: MatchSchema = MATCHES) -> DataFrame:
@@ -64,5 +65,5 @@ def apply_aliases(df: DataFrame, aliases: dict[str, str], columns=("HomeTeam", "
 
 
 def row_numbers(df: DataFrame, order: list[str]) -> DataFrame:
-    """match_seq by a given order, for inputs that have none; use sources.csv for files."""
-    return df.withColumn(SEQ, F.row_number().over(Window.orderBy(*order)).cast("long"))
+    """match_seq, from 1, by a given order, for inputs that have none; use sources.files for files."""
+    return ranked(df, order, SEQ).withColumn(SEQ, F.col(SEQ) + 1)

@@ -1,7 +1,8 @@
 """Point-in-time history: what a team, or a pair of teams, had done before a match.
 
 Three kinds of "previous N" (see README): strict (days before the match's day alone), running (rows before in order of
-date and match_seq) and shifted rolling. All are windows by team or pair; none joins a match to its past.
+date and match_seq) and shifted rolling. All are windows by team or pair; none joins a match to its past, and strict and running share one
+exchange and one sort: what is strictly before a day is what runs up to the day's first row.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from ..functions.expr import points, ratio
 from ..schema import SEQ
 
 FACTS = ("matches", "wins", "draws", "losses", "goals_for", "goals_against", "points", "clean_sheets", "failed_to_score")
-_RATES = {"goals_per_match": "goals_for", "goals_against_per_match": "goals_against", "points_per_match": "points", "win_rate": "wins", "draw_rate": "draws", "loss_rate": "losses", "clean_sheet_rate": "clean_sheets", "failed_to_score_rate": "failed_to_score"}
-STATS = ("matches", "matches_played", "wins", "draws", "losses", "goals_for", "goals_against", "goal_difference", "points", "clean_sheets", "failed_to_score", *_RATES)
+RATES = {"goals_per_match": "goals_for", "goals_against_per_match": "goals_against", "points_per_match": "points", "win_rate": "wins", "draw_rate": "draws", "loss_rate": "losses", "clean_sheet_rate": "clean_sheets", "failed_to_score_rate": "failed_to_score"}
+STATS = ("matches", "matches_played", "wins", "draws", "losses", "goals_for", "goals_against", "goal_difference", "points", "clean_sheets", "failed_to_score", *RATES)
 
 
 def team_view(matches: DataFrame) -> DataFrame:
@@ -34,50 +35,59 @@ def team_view(matches: DataFrame) -> DataFrame:
     )
 
 
-def strict(view: DataFrame, keys: list[str], facts, limit: int | None = 5, only: Column | None = None) -> DataFrame:
-    """(keys, Date, facts): sums over the last `limit` rows of earlier Dates, for every (keys, Date) of the view.
+def with_running(view: DataFrame, keys: list[str], facts, limit: int | None, prefix: str = "") -> DataFrame:
+    """Adds prefix + fact: sums over the last `limit` rows (all, if None) of the keys by (Date, match_seq), the row itself excluded."""
+    if limit is not None and limit < 1:
+        raise ValueError("the window must be at least 1")
+    w = Window.partitionBy(*keys).orderBy("Date", SEQ).rowsBetween(Window.unboundedPreceding if limit is None else -limit, -1)
+    return view.withColumns({prefix + f: F.coalesce(F.sum(f).over(w), F.lit(0)) for f in facts})
+
+
+def at_day_start(view: DataFrame, keys: list[str], columns: dict[str, str]) -> DataFrame:
+    """Adds new: old's value in the first row of the same keys and Date, by match_seq. The order is that of with_running, so nothing moves."""
+    day = Window.partitionBy(*keys, "Date").orderBy(SEQ)
+    return view.withColumns({new: F.first(old).over(day) for new, old in columns.items()})
+
+
+def with_strict(view: DataFrame, keys: list[str], facts, limit: int | None = 5, prefix: str = "past_") -> DataFrame:
+    """Adds prefix + fact: sums over the keys' last `limit` rows of earlier Dates (later match_seq preferred within a day); all rows stay."""
+    run = with_running(view, keys, facts, limit, "_run_")
+    return at_day_start(run, keys, {prefix + f: f"_run_{f}" for f in facts}).drop(*[f"_run_{f}" for f in facts])
+
+
+def strict_of(view: DataFrame, keys: list[str], facts, limit: int | None, only: Column) -> DataFrame:
+    """(keys, Date, facts): sums over the last `limit` rows of earlier Dates for which `only` holds, for every (keys, Date) of the view.
 
     Rows are gathered by (keys, Date), keeping the last `limit` of a day; the last `limit` rows before a day lie within
-    its `limit` preceding days that have rows, so the window holds a bounded number of arrays. Later match_seq is
-    preferred within a day. Without a limit the days' sums are accumulated. `only` restricts which rows count as history.
+    its `limit` preceding days that have rows, so the window holds a bounded number of arrays. Without a limit the days' sums are accumulated.
     """
     if limit is not None and limit < 1:
         raise ValueError("the window must be at least 1")
     day = Window.partitionBy(*keys).orderBy("Date")
-    counts = F.lit(True) if only is None else only
     if limit is None:
-        days = view.groupBy(*keys, "Date").agg(*[F.sum(F.when(counts, F.col(f))).alias(f) for f in facts])
+        days = view.groupBy(*keys, "Date").agg(*[F.sum(F.when(only, F.col(f))).alias(f) for f in facts])
         before = day.rowsBetween(Window.unboundedPreceding, -1)
         return days.select(*keys, "Date", *[F.coalesce(F.sum(f).over(before), F.lit(0)).alias(f) for f in facts])
-    row = F.struct(F.col(SEQ).alias("_seq"), *facts)
-    last = F.slice(F.reverse(F.sort_array(F.collect_list(F.when(counts, row)))), 1, limit)
+    last = F.slice(F.reverse(F.sort_array(F.collect_list(F.when(only, F.struct(F.col(SEQ).alias("_seq"), *facts))))), 1, limit)
     days = view.groupBy(*keys, "Date").agg(last.alias("_rows"))
-    if only is not None:  # days without such rows would use up the window's places
-        days = days.withColumn("_n", F.sum((F.size("_rows") > 0).cast("long")).over(day))
-        past = F.collect_list(F.when(F.size("_rows") > 0, F.col("_rows"))).over(Window.partitionBy(*keys).orderBy("_n").rangeBetween(-limit, Window.currentRow))
-        days = days.withColumn("_past", past)
-        # a day's own rows are at the end if it has any: drop them
-        days = days.withColumn("_past", F.when(F.size("_rows") > 0, F.slice("_past", 1, F.size("_past") - 1)).otherwise(F.col("_past")))
-    else:
-        days = days.withColumn("_past", F.collect_list("_rows").over(day.rowsBetween(-limit, -1)))
+    # days without such rows would use up the window's places
+    days = days.withColumn("_n", F.sum((F.size("_rows") > 0).cast("long")).over(day))
+    past = F.collect_list(F.when(F.size("_rows") > 0, F.col("_rows"))).over(Window.partitionBy(*keys).orderBy("_n").rangeBetween(-limit, Window.currentRow))
+    days = days.withColumn("_past", past)
+    # a day's own rows are at the end if it has any: drop them
+    days = days.withColumn("_past", F.when(F.size("_rows") > 0, F.slice("_past", 1, F.size("_past") - 1)).otherwise(F.col("_past")))
     days = days.withColumn("_past", F.slice(F.flatten(F.reverse("_past")), 1, limit))
     total = lambda f: F.aggregate("_past", F.lit(0).cast("long"), lambda s, x: s + x[f])
     return days.select(*keys, "Date", *[total(f).alias(f) for f in facts])
 
 
-def running(view: DataFrame, facts, limit: int = 5) -> DataFrame:
-    """The view's (match_seq, is_home) with sums over the team's last `limit` rows by (Date, match_seq), its own excluded."""
-    w = Window.partitionBy("team").orderBy("Date", SEQ).rowsBetween(-limit, -1)
-    return view.select(SEQ, "is_home", *[F.coalesce(F.sum(f).over(w), F.lit(0)).alias(f) for f in facts])
-
-
 def statistics(prefix: str = "") -> list[Column]:
-    """All STATS as doubles from the FACTS' columns."""
+    """All STATS as doubles from the FACTS' columns, which have the prefix."""
     n = F.col(prefix + "matches")
     base = {f: F.col(prefix + f).cast("double") for f in FACTS}
     base |= {"matches_played": base["matches"], "goal_difference": base["goals_for"] - base["goals_against"]}
-    base |= {r: ratio(F.col(prefix + f), n) for r, f in _RATES.items()}
-    return [base[s].alias(prefix + s) for s in STATS]
+    base |= {r: ratio(F.col(prefix + f), n) for r, f in RATES.items()}
+    return [base[s].alias(s) for s in STATS]
 
 
 def team_statistics(matches: DataFrame, limit: int | None = 5, venue: str = "overall") -> DataFrame:
@@ -86,16 +96,16 @@ def team_statistics(matches: DataFrame, limit: int | None = 5, venue: str = "ove
     venue: overall; home or away counts the team's games at that venue alone, whatever the match's own venue.
     """
     view = team_view(matches)
-    only = None if venue == "overall" else F.col("is_home") == (venue == "home")
-    past = strict(view, ["team"], FACTS, limit, only)
-    rows = view.select(SEQ, "Date", "team", "is_home").join(past, ["team", "Date"])
-    return rows.select(SEQ, "is_home", "team", *statistics())
+    if venue == "overall":
+        return with_strict(view, ["team"], FACTS, limit).select(SEQ, "is_home", "team", *statistics("past_"))
+    past = strict_of(view, ["team"], FACTS, limit, F.col("is_home") == (venue == "home"))
+    return view.select(SEQ, "Date", "team", "is_home").join(past, ["team", "Date"]).select(SEQ, "is_home", "team", *statistics())
 
 
-def home_and_away(rows: DataFrame, columns) -> DataFrame:
-    """One row a match from two rows (match_seq, is_home, columns): home_* and away_*, by conditional aggregation."""
+def home_and_away(rows: DataFrame, columns, names=None) -> DataFrame:
+    """One row a match from two rows (match_seq, is_home, columns): home_* and away_* of the names, by conditional aggregation."""
     pick = lambda c, home: F.max(F.when(F.col("is_home") == home, F.col(c)))
-    return rows.groupBy(SEQ).agg(*[pick(c, h).alias(("home_" if h else "away_") + c) for c in columns for h in (True, False)])
+    return rows.groupBy(SEQ).agg(*[pick(c, h).alias(("home_" if h else "away_") + n) for c, n in zip(columns, names or columns) for h in (True, False)])
 
 
 def pair_statistics(matches: DataFrame, limit: int | None = 5) -> DataFrame:
@@ -108,8 +118,7 @@ def pair_statistics(matches: DataFrame, limit: int | None = 5) -> DataFrame:
     x, y = F.when(straight, F.col("FTHG")).otherwise(F.col("FTAG")), F.when(straight, F.col("FTAG")).otherwise(F.col("FTHG"))
     facts = {"matches": F.lit(1), "a_wins": (x > y).cast("long"), "b_wins": (x < y).cast("long"), "draws": (x == y).cast("long"), "a_goals": x, "b_goals": y}
     view = matches.select(SEQ, "Date", a.alias("a"), b.alias("b"), straight.alias("straight"), *[c.cast("long").alias(n) for n, c in facts.items()])
-    past = strict(view, ["a", "b"], list(facts), limit)
-    rows = view.select(SEQ, "Date", "a", "b", "straight").join(past, ["a", "b", "Date"])
+    rows = with_strict(view, ["a", "b"], list(facts), limit).select(SEQ, "straight", *[F.col(f"past_{f}").alias(f) for f in facts])
     turn = lambda p, q, n: F.when(F.col("straight"), F.col(p)).otherwise(F.col(q)).alias(n)
     return rows.select(SEQ, "matches", turn("a_wins", "b_wins", "home_wins"), turn("b_wins", "a_wins", "away_wins"), "draws", turn("a_goals", "b_goals", "home_goals"), turn("b_goals", "a_goals", "away_goals"))
 

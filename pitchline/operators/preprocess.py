@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from ..errors import PreprocessingError
+from ..errors import DataProcessingError, PreprocessingError
 from ..schema import SEQ
 
 _DATES = ("date", "time", "timestamp", "dt")
@@ -29,6 +29,18 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def prepare_features(df: DataFrame, exclude=()) -> DataFrame:
+    """All columns but those left out; names that aren't there are ignored."""
+    return df.drop(*exclude)
+
+
+def prepare_labels(df: DataFrame, label: str) -> DataFrame:
+    """The label alone, with match_seq if there is one."""
+    if label not in df.columns:
+        raise DataProcessingError(f"no label column {label}")
+    return df.select(*[c for c in (SEQ,) if c in df.columns and c != label], _c(label))
+
+
 def imputation(df: DataFrame, numerical: list[str], categorical: list[str], strategy: str = "mean", categories: str = "most_frequent", constant: float = 0.0) -> dict:
     """Fill values: mean, median or mode (the smallest on a tie) or a constant; categories most_frequent or "MISSING"."""
     how = {"mean": F.avg, "median": F.median, "mode": lambda c: F.mode(c, True).cast("double"), "most_frequent": lambda c: F.mode(c, True).cast("double")}
@@ -49,11 +61,18 @@ def impute(df: DataFrame, fills: dict) -> DataFrame:
     return df.withColumns({c: value(c, v) for c, v in fills.items()})
 
 
-def categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted distinct values of each column, in one aggregation."""
+def categories(df: DataFrame, columns: list[str], most: int = 10_000) -> dict[str, list[str]]:
+    """Sorted distinct values of each column: encodings are held by the driver, so more than `most` values of one are refused, not cut."""
     if not columns:
         return {}
-    return df.agg(*[F.sort_array(F.collect_set(_c(c).cast("string"))).alias(c) for c in columns]).first().asDict()
+    rows = df.select(F.explode(F.array(*[F.struct(F.lit(i).alias("i"), _c(c).cast("string").alias("v")) for i, c in enumerate(columns)])).alias("r")).select("r.*").where("v is not null").distinct()
+    counts = {r.i: r["count"] for r in rows.groupBy("i").count().collect()}  # a row a column
+    if many := [c for i, c in enumerate(columns) if counts.get(i, 0) > most]:
+        raise PreprocessingError(f"more than {most} categories: {', '.join(many)}")
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for r in rows.collect():
+        found[columns[r.i]].append(r.v)
+    return {c: sorted(v, key=lambda x: x.encode()) for c, v in found.items()}
 
 
 def label_encode(df: DataFrame, classes: dict[str, list[str]], strict: bool = False) -> DataFrame:
@@ -98,6 +117,18 @@ class PreprocessingModel:
     target: str | None
     drop: list
 
+    def metadata(self, df: DataFrame) -> dict:
+        """Columns by kind, what was done to each, and the shapes before and after; nothing is run."""
+        out = self.transform(df).columns
+        done = {c: {"fill": v} for c, v in self.fills.items()}
+        for c in self.labels:
+            done.setdefault(c, {})["encoding"] = "label"
+        for c in self.hot:
+            done.setdefault(c, {})["encoding"] = "one-hot"
+        for c, (shift, divisor) in self.factors.items():
+            done.setdefault(c, {})["scale"] = {"shift": shift, "divisor": divisor}
+        return {"kinds": self.kinds, "features": done, "target": self.target, "dropped": self.drop, "columns_in": len(df.columns), "columns_out": len(out), "classes": self.labels | self.hot}
+
     def transform(self, df: DataFrame) -> DataFrame:
         missing = [c for c in self.fills if c not in df.columns]
         if missing:

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
@@ -88,9 +88,9 @@ def highly_correlated(df: DataFrame, threshold: float = 0.9, limit: int = 20, co
 
 
 def target_distribution(df: DataFrame, target: str) -> DataFrame:
+    """(value, n, ratio): one row a value; the total is a window over those rows."""
     n = df.groupBy(_q(target).cast("string").alias("value")).agg(F.count("*").alias("n"))
-    total = n.agg(F.sum("n").alias("total"))
-    return n.crossJoin(F.broadcast(total)).select("value", "n", _six(F.col("n") / F.col("total")).alias("ratio"))
+    return n.select("value", "n", _six(F.col("n") / F.sum("n").over(Window.partitionBy(F.lit(1)))).alias("ratio"))
 
 
 def summary(df: DataFrame) -> DataFrame:
@@ -137,11 +137,19 @@ class QualityReport:
 
 
 def profile(df: DataFrame, target: str | None = None, near: float = 0.01, imbalance: float = 0.9) -> QualityReport:
-    """All checks. An uneven target warns and leaves the report valid."""
-    from .validate import duplicate_rows
-
+    """All checks. An uneven target warns and leaves the report valid. The table is kept while it is read again and again, then let go."""
     if target is not None and target not in df.columns:
         raise ValidationFailed("target column is missing", 0, target)
+    kept = df.persist()
+    try:
+        return _profile(kept, target, near, imbalance)
+    finally:
+        kept.unpersist()
+
+
+def _profile(df: DataFrame, target: str | None, near: float, imbalance: float) -> QualityReport:
+    from .validate import duplicate_rows
+
     features = df.drop(target) if target else df
     numeric = set(numeric_columns(features))
     r = QualityReport(rows=df.count(), columns=len([c for c in features.columns if c != SEQ]))

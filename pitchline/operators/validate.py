@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import DuplicateMatchError, InvalidDateError, InvalidScoreError, MissingColumnError, ValidationFailed
-from ..functions.expr import parse_date, to_number, winner
+from ..functions.expr import date_column, strip, to_number, winner
 from ..schema import MATCHES, SEQ, MatchSchema
 
 NAME = r"^[a-zA-Z0-9\s\-'&.]+$"
@@ -39,12 +39,12 @@ def validation_counts(df: DataFrame, schema: MatchSchema = MATCHES) -> DataFrame
     cols = [c for c in df.columns if c != SEQ]
     kinds = dict(df.dtypes)
     numbers = [c for c in schema.numeric if c in cols]
-    bad_names = [F.trim(c) for c in ("HomeTeam", "AwayTeam") if c in cols]
+    bad_names = [strip(c) for c in ("HomeTeam", "AwayTeam") if c in cols]
     name = lambda c: c.isNotNull() & ((F.length(c) == 0) | (F.length(c) > 50) | ~c.rlike(NAME))
     total = lambda xs: sum((_count(x) for x in xs), F.lit(0).cast("long")).cast("long")
     return df.agg(
         *[_count(F.col(f"`{c}`").isNull()).alias(f"nulls_{c}") for c in cols],
-        _count(F.col("Date").isNotNull() & parse_date("Date").isNull()).alias("bad_dates"),
+        _count(F.col("Date").isNotNull() & date_column(df).isNull()).alias("bad_dates"),
         total([bad_score(c, kinds[c]) for c in numbers]).alias("bad_scores"),
         total([name(c) for c in bad_names]).alias("bad_names"),
     )
@@ -78,7 +78,7 @@ def validate(df: DataFrame, schema: MatchSchema = MATCHES) -> ValidationReport:
     if nulls:
         raise ValidationFailed("nulls", sum(nulls.values()), f"({', '.join(f'{k}: {v}' for k, v in nulls.items())})")
     if row["bad_dates"]:
-        some = [r[0] for r in df.where(parse_date("Date").isNull()).select("Date").limit(3).collect()]
+        some = [r[0] for r in df.where(F.col("Date").isNotNull() & date_column(df).isNull()).select("Date").limit(3).collect()]
         raise InvalidDateError("dates", row["bad_dates"], f"such as {some}")
     if row["bad_scores"]:
         raise InvalidScoreError("scores", row["bad_scores"])
@@ -89,7 +89,7 @@ def validate(df: DataFrame, schema: MatchSchema = MATCHES) -> ValidationReport:
 
 def contract_counts(df: DataFrame, now: Column | None = None) -> DataFrame:
     """One row of violations: invalid_dates, future_dates, negative_goals, bad_labels, wrong_labels, repeated_keys, bad_integers."""
-    date, h, a = parse_date("Date"), to_number("FTHG"), to_number("FTAG")
+    date, h, a = date_column(df), to_number("FTHG"), to_number("FTAG")
     whole = (h == F.floor(h)) & (a == F.floor(a))
     counts = [c for c in MATCHES.numeric if c in df.columns]
     rows = df.select("*", date.alias("_d"), h.alias("_h"), a.alias("_a"))

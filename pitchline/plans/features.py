@@ -1,10 +1,15 @@
-"""Feature generators: plug-ins that turn matches into (match_seq, their columns), a registry and a run of several."""
+"""Feature generators: plug-ins that turn matches into (match_seq, their columns), a registry and a run of several.
+
+A TeamGenerator says which history of a team it needs and how its columns come of it; all of them that run together share one pass over the team view:
+one exchange by team, one aggregation by match.
+"""
 
 from __future__ import annotations
 
+import warnings
 from abc import ABC, abstractmethod
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import FeatureError, MissingColumnError
@@ -20,7 +25,7 @@ class FeatureGenerator(ABC):
     name = ""
     required: tuple[str, ...] = ()
     dependencies: tuple[str, ...] = ()
-    window = 5
+    window = running_window = 5
 
     def __init__(self, config: dict | None = None):
         self.config = dict(config or {})
@@ -44,6 +49,57 @@ class FeatureGenerator(ABC):
         return f"{self.name}(window={self.window}, needs {', '.join(self.required)})"
 
 
+class TeamGenerator(FeatureGenerator):
+    """needs: kinds of history, "strict" (overall), "venue" (the team's games at the match's venue), "running" or "rest" (see shared_view)."""
+
+    needs: tuple[str, ...] = ()
+
+    @abstractmethod
+    def side(self, of) -> dict[str, Column]:
+        """A team's columns by name; of(kind, fact) is the column of a fact in a kind of history."""
+
+    def finish(self, home, away) -> dict[str, Column]:
+        """The match's columns, in order; home(c) and away(c) are the two teams' columns c."""
+        return {f"{s}_{c}": x(c) for c in self.side(lambda kind, fact: F.lit(0)) for s, x in (("home", home), ("away", away))}
+
+    def generate(self, matches):
+        f, columns = team_features(matches, [self])
+        return f.select(SEQ, *[F.col(f"`{new}`").alias(c) for c, new in columns[self.name].items()])
+
+
+def shared_view(matches: DataFrame, kinds: set[tuple[str, int]]) -> DataFrame:
+    """The team view with columns kind_window_fact for each (kind, window): all from one exchange by team."""
+    scored = any(k != "rest" for k, _ in kinds)
+    view = H.team_view(matches) if scored else H.team_view(matches.select(SEQ, "Date", "HomeTeam", "AwayTeam"))
+    for window in sorted({w for k, w in kinds if k in ("strict", "running")}):
+        view = H.with_running(view, ["team"], H.FACTS, window, f"running_{window}_")
+        if ("strict", window) in kinds:
+            view = H.at_day_start(view, ["team"], {f"strict_{window}_{f}": f"running_{window}_{f}" for f in H.FACTS})
+    if any(k == "rest" for k, _ in kinds):
+        view = view.withColumn("_last", F.lag("Date").over(Window.partitionBy("team").orderBy("Date", SEQ)))
+        view = H.at_day_start(view, ["team"], {"rest_0_before": "_last"})
+    for window in sorted({w for k, w in kinds if k == "venue"}):
+        view = H.with_strict(view, ["team", "is_home"], H.FACTS, window, f"venue_{window}_")
+    return view
+
+
+def team_features(matches: DataFrame, generators: list[TeamGenerator]) -> tuple[DataFrame, dict[str, dict[str, str]]]:
+    """((match_seq, generator::column ...), each generator's columns and their names there) by one pass over the team view."""
+    span = lambda g, kind: {"rest": 0, "running": g.running_window}.get(kind, g.window)
+    view = shared_view(matches, {(k, span(g, k)) for g in generators for k in g.needs})
+    sides = {}
+    for i, g in enumerate(generators):
+        for c, x in g.side(lambda kind, fact: F.col(f"{kind}_{span(g, kind)}_{fact}")).items():  # noqa: B023
+            sides[f"{i}:{c}"] = x
+    both = H.home_and_away(view.select(SEQ, "is_home", *[x.alias(c) for c, x in sides.items()]), [f"`{c}`" for c in sides], list(sides))
+    out, names = [], {}
+    for i, g in enumerate(generators):
+        cols = g.finish(lambda c: F.col(f"`home_{i}:{c}`"), lambda c: F.col(f"`away_{i}:{c}`"))  # noqa: B023
+        names[g.name] = {c: f"{g.name}::{c}" for c in cols}
+        out += [x.alias(f"{g.name}::{c}") for c, x in cols.items()]
+    return both.select(SEQ, *out), names
+
+
 class Registry:
     def __init__(self):
         self._known: dict[str, type[FeatureGenerator]] = {}
@@ -87,35 +143,39 @@ class Registry:
 REGISTRY = Registry()
 
 
+def _rates(of, kind: str) -> dict[str, Column]:
+    return {r: ratio(of(kind, H.RATES[r]).cast("double"), of(kind, "matches")) for r in RATES}
+
+
 @REGISTRY.register
-class GoalDifference(FeatureGenerator):
-    name, required = "goal_difference", (*_SCORED, "FTR")
+class GoalDifference(TeamGenerator):
+    name, required, needs = "goal_difference", (*_SCORED, "FTR"), ("strict",)
 
-    def generate(self, matches):
-        s = H.team_statistics(matches, self.window).withColumn("average_goal_difference", ratio(F.col("goal_difference"), F.col("matches")))
-        return H.home_and_away(s, ("goals_for", "goals_against", "goal_difference", "average_goal_difference"))
+    def side(self, of):
+        f, a, n = (of("strict", c) for c in ("goals_for", "goals_against", "matches"))
+        d = lambda c: c.cast("double")
+        return {"goals_for": d(f), "goals_against": d(a), "goal_difference": d(f) - d(a), "average_goal_difference": ratio(d(f) - d(a), n)}
 
 
 @REGISTRY.register
-class TeamPerformance(FeatureGenerator):
-    name, required = "team_performance", (*_SCORED, "FTR")
+class TeamPerformance(TeamGenerator):
+    name, required, needs = "team_performance", (*_SCORED, "FTR"), ("strict",)
 
-    def generate(self, matches):
-        return H.home_and_away(H.team_statistics(matches, self.window), RATES)
+    def side(self, of):
+        return _rates(of, "strict")
 
 
 @REGISTRY.register
-class HomeAdvantage(FeatureGenerator):
+class HomeAdvantage(TeamGenerator):
     """The home team's home games and the away team's away games, each by its own venue."""
 
-    name, required = "home_advantage", (*_SCORED, "FTR")
+    name, required, needs = "home_advantage", (*_SCORED, "FTR"), ("venue",)
 
-    def generate(self, matches):
-        view = H.team_view(matches)
-        past = H.strict(view, ["team", "is_home"], H.FACTS, self.window)
-        s = view.select(SEQ, "Date", "team", "is_home").join(past, ["team", "is_home", "Date"]).select(SEQ, "is_home", *H.statistics())
-        both = H.home_and_away(s, RATES)
-        return both.select(SEQ, *[F.col(f"{side}_{r}").alias(f"{side}_{side}_{r}") for r in RATES for side in ("home", "away")])
+    def side(self, of):
+        return _rates(of, "venue")
+
+    def finish(self, home, away):
+        return {f"{s}_{s}_{r}": x(r) for r in RATES for s, x in (("home", home), ("away", away))}
 
 
 @REGISTRY.register
@@ -136,10 +196,10 @@ class HeadToHead(FeatureGenerator):
 
 
 @REGISTRY.register
-class RestDays(FeatureGenerator):
+class RestDays(TeamGenerator):
     """Whole days since a team's previous day with a match; thresholds congested_days (4) and long_break_days (14)."""
 
-    name, required = "rest_days", _SCORED[:3]
+    name, required, needs = "rest_days", _SCORED[:3], ("rest",)
 
     def __init__(self, config=None):
         super().__init__(config)
@@ -147,28 +207,24 @@ class RestDays(FeatureGenerator):
         if self.congested < 0 or self.long < 0:
             raise ValueError("day thresholds must not be negative")
 
-    def generate(self, matches):
-        view = H.team_view(matches.select(SEQ, *self.required)).select(SEQ, "Date", "team", "is_home")
-        days = view.groupBy("team", "Date").agg(F.count("*"))
-        before = F.lag("Date").over(Window.partitionBy("team").orderBy("Date"))
-        days = days.select("team", "Date", F.coalesce(F.timestamp_diff("DAY", before, F.col("Date")), F.lit(0)).cast("double").alias("rest_days"))
-        both = H.home_and_away(view.join(days, ["team", "Date"]), ("rest_days",))
-        h, a = F.col("home_rest_days"), F.col("away_rest_days")
+    def side(self, of):
+        return {"rest_days": F.coalesce(F.timestamp_diff("DAY", of("rest", "before"), F.col("Date")), F.lit(0)).cast("double")}
+
+    def finish(self, home, away):
+        h, a = home("rest_days"), away("rest_days")
         tight = lambda d: ((d > 0) & (d <= self.congested)).cast("double")
-        return both.select(SEQ, h, a, (h - a).alias("rest_day_difference"), tight(h).alias("home_congested_schedule"), tight(a).alias("away_congested_schedule"), ((h >= self.long) | (a >= self.long)).cast("double").alias("long_break_flag"))
+        return {"home_rest_days": h, "away_rest_days": a, "rest_day_difference": h - a, "home_congested_schedule": tight(h), "away_congested_schedule": tight(a), "long_break_flag": ((h >= self.long) | (a >= self.long)).cast("double")}
 
 
 @REGISTRY.register
-class RecentForm(FeatureGenerator):
+class RecentForm(TeamGenerator):
     """The last five rows before a match in order of date and match_seq, same-day ones included."""
 
-    name, required = "recent_form", (*_SCORED, "FTR")
+    name, required, needs, running_window = "recent_form", (*_SCORED, "FTR"), ("running",), 5
 
-    def generate(self, matches):
-        r = H.running(H.team_view(matches), H.FACTS, 5)
-        d = lambda c: F.col(c).cast("double")
-        cols = {"form_points_last5": d("points"), "wins_last5": d("wins"), "draws_last5": d("draws"), "losses_last5": d("losses"), "goals_scored_last5": d("goals_for"), "goals_conceded_last5": d("goals_against"), "goal_difference_last5": d("goals_for") - d("goals_against"), "points_per_match": ratio(F.col("points"), F.col("matches"))}
-        return H.home_and_away(r.select(SEQ, "is_home", *[c.alias(n) for n, c in cols.items()]), cols)
+    def side(self, of):
+        d = lambda c: of("running", c).cast("double")
+        return {"form_points_last5": d("points"), "wins_last5": d("wins"), "draws_last5": d("draws"), "losses_last5": d("losses"), "goals_scored_last5": d("goals_for"), "goals_conceded_last5": d("goals_against"), "goal_difference_last5": d("goals_for") - d("goals_against"), "points_per_match": ratio(d("points"), of("running", "matches"))}
 
 
 #: Output names of the rolling statistics.
@@ -179,9 +235,11 @@ def rolling_statistics(matches: DataFrame, window: int = 5) -> DataFrame:
     """(match_seq, 12 columns): per team by (Date, match_seq), shifted by one match; the first match has 0."""
     if window < 1:
         raise ValueError("the window must be at least 1")
-    r = H.running(H.team_view(matches), H.FACTS, window)
-    n = F.col("matches")
-    cols = {k: F.col("points").cast("double") if k == "Team Form" else ratio(F.col(f) if f else F.col("goals_for") - F.col("goals_against"), n) for k, f in ROLLING.items()}
+    missing = [c for c in (*_SCORED, "FTR") if c not in matches.columns]
+    if missing:
+        raise MissingColumnError(missing)
+    r = H.with_running(H.team_view(matches), ["team"], H.FACTS, window, "_")
+    cols = {k: F.col("_points").cast("double") if k == "Team Form" else ratio(F.col(f"_{f}") if f else F.col("_goals_for") - F.col("_goals_against"), F.col("_matches")) for k, f in ROLLING.items()}
     both = H.home_and_away(r.select(SEQ, "is_home", *[c.alias(k) for k, c in cols.items()]), cols)
     return both.select(SEQ, *[F.col(f"{side.lower()}_{k}").alias(f"{side} {k}") for k in cols for side in ("Home", "Away")])
 
@@ -195,14 +253,25 @@ def combine(base: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def run_features(matches: DataFrame, generators=None, prefix: bool = True) -> DataFrame:
-    """All generators' columns beside the matches; prefixed `generator::column` so that equal names stay apart.
+    """All generators' columns beside the matches, in their order; prefixed `generator::column` so that equal names stay apart.
 
-    A generator whose columns are missing is left out, as `supports` says.
+    A generator whose columns are missing is left out with a warning, as `supports` says. TeamGenerators share one pass; each other one has its own.
     """
-    out = matches
-    for g in generators if generators is not None else REGISTRY.instances():
-        if not g.supports(out):
-            continue
-        f = g.generate(out)
-        out = combine(out, f.select(SEQ, *[F.col(f"`{c}`").alias(f"{g.name}::{c}" if prefix else c) for c in f.columns if c != SEQ]))
-    return out
+    given = generators if generators is not None else REGISTRY.instances()
+    able = [g for g in given if g.supports(matches)]
+    for g in (g for g in given if g not in able):
+        warnings.warn(f"{g.name} is left out: {', '.join(c for c in g.required if c not in matches.columns)} missing", stacklevel=2)
+    teams = [g for g in able if isinstance(g, TeamGenerator) and type(g).generate is TeamGenerator.generate]
+    out, order = matches, []
+    shared, names = team_features(matches, teams) if teams else (None, {})
+    if shared is not None:
+        out = combine(out, shared)
+    for g in able:
+        if g not in teams:
+            f = g.generate(matches)
+            names[g.name] = {c: f"{g.name}::{c}" for c in f.columns if c != SEQ}
+            out = combine(out, f.select(SEQ, *[F.col(f"`{c}`").alias(n) for c, n in names[g.name].items()]))
+        order += [(c, n) for c, n in names[g.name].items()]
+    if not prefix and (clash := {c for c, _ in order if [x for x, _ in order].count(c) > 1 or c in matches.columns}):
+        raise FeatureError(f"columns clash: {', '.join(sorted(clash))}")
+    return out.select(*[F.col(f"`{c}`") for c in matches.columns], *[F.col(f"`{n}`").alias(n if prefix else c) for c, n in order])
