@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..errors import DuplicateMatchError, InvalidMatchError, MissingColumnError, SplittingError
 from ..functions.expr import date_column, to_number
 from ..schema import SEQ
-from .order import ranked
+from .order import ranked, slot, sums_before
 
 #: Result columns, in order of precedence.
 RESULTS = ("FTR", "Result", "MatchResult", "match_result", "result")
@@ -167,25 +167,20 @@ def verify_chronological(split: DataFrame) -> bool:
 
 
 def split_random(df: DataFrame, test: float = 0.2, validation: float = 0.0, stratify: str | None = None, seed: int = 42, shuffle: bool = True) -> DataFrame:
-    """Adds split with exact quotas, by stratum if one is named; the order is a seeded hash of match_seq."""
+    """Adds split with exact quotas, by stratum if one is named (null is one); the order is that of MD5 digests of `seed:match_seq`."""
     if stratify and not shuffle:
         raise SplittingError("stratified splits need shuffling")
     if stratify and stratify not in df.columns:
         raise SplittingError(f"no column {stratify} to stratify by")
     if not (0 <= test < 1 and 0 <= validation < 1 and test + validation < 1):
         raise SplittingError("shares must lie between 0 and 1")
-    # ranks within (stratum, slot of the hash) and the slots' counts give ranks in the stratum without one task for it
-    key = F.xxhash64(F.lit(seed), F.col(SEQ)) if shuffle else F.col(SEQ)
-    slots = 64
-    rows = df.withColumn("_k", key).withColumn("_s", F.col(stratify).cast("string") if stratify else F.lit("all"))
-    low, high = rows.agg(F.min("_k"), F.max("_k")).first() if not shuffle else (-(2**63), 2**63 - 1)
-    width = ((high or 0) - (low or 0)) // slots + 1
-    rows = rows.withColumn("_b", F.floor((F.col("_k").cast("decimal(20,0)") - F.lit(str(low or 0)).cast("decimal(20,0)")) / F.lit(str(width)).cast("decimal(20,0)")).cast("int"))
-    n = rows.groupBy("_s", "_b").agg(F.count("*").alias("_n"))
-    w = Window.partitionBy("_s")
-    n = n.select("_s", "_b", F.coalesce(F.sum("_n").over(w.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"), F.sum("_n").over(w).alias("_all"))
-    rank = F.col("_before") + F.row_number().over(Window.partitionBy("_s", "_b").orderBy("_k", SEQ)) - 1
-    rows = rows.join(F.broadcast(n), ["_s", "_b"]).withColumn("_r", rank)
+    # ranks within (stratum, slot) and the slots' counts give ranks in the stratum without one task for it
+    key = F.md5(F.concat(F.lit(f"{seed}:"), F.col(SEQ).cast("string")).cast("binary")) if shuffle else F.col(SEQ)
+    at = F.conv(F.substring(key, 1, 2), 16, 10).cast("int") if shuffle else slot(df, SEQ)
+    rows = df.withColumn("_k", key).withColumn("_s", F.coalesce(F.concat(F.lit("="), F.col(stratify).cast("string")), F.lit("-")) if stratify else F.lit("all")).withColumn("_b", at)
+    starts = sums_before(rows, ["_s"], "_b", F.lit(1), "_before").join(rows.groupBy("_s").agg(F.count("*").alias("_all")), "_s")
+    rank = F.row_number().over(Window.partitionBy("_s", "_b").orderBy("_k", SEQ)) - 1
+    rows = rows.withColumn("_r", rank).join(F.broadcast(starts), ["_s", "_b"]).withColumn("_r", F.col("_r") + F.col("_before"))
     v, t = F.round(F.col("_all") * validation), F.round(F.col("_all") * test)
     part = F.when(F.col("_r") < v, "validation").when(F.col("_r") < v + t, "test").otherwise("train")
     return rows.withColumn("split", part).select(*df.columns, "split")

@@ -172,6 +172,27 @@ _TYPED = ", ".join(_INT(c) for c in COUNTS)
 query("clean_dedup", f"WITH {_DEDUP} SELECT match_seq, {_LIST} FROM e")(lambda spark, d: C.remove_duplicates(dirty_matches(spark, d)))
 query("clean_types", f"""WITH {_DIRTY} SELECT match_seq, CAST("Date" AS TIMESTAMP) AS "Date", "HomeTeam", "AwayTeam", "FTR", {_TYPED} FROM d""")(lambda spark, d: _ntz(C.convert_types(dirty_matches(spark, d))))
 query("clean_full", f"""WITH {_DEDUP} SELECT match_seq, CAST("Date" AS TIMESTAMP) AS "Date", trim("HomeTeam") AS "HomeTeam", trim("AwayTeam") AS "AwayTeam", "FTR", {_TYPED} FROM e WHERE "Date" IS NOT NULL""")(lambda spark, d: _ntz(C.clean(dirty_matches(spark, d))))
+_WRITTEN = f"""{_M}, w AS (SELECT match_seq, "HomeTeam", "AwayTeam", match_seq % 10 AS form, "Date" + INTERVAL 1 SECOND * (match_seq % 86400) AS t FROM m),
+  g AS (SELECT *, CASE WHEN form IN (0, 5, 6, 9) THEN date_trunc('day', t) WHEN form = 2 THEN t + INTERVAL 250 MILLISECOND WHEN form = 4 THEN t + INTERVAL 125 MICROSECOND WHEN form IN (1, 3) THEN t END AS d FROM w)"""
+
+
+def _written(spark, d):
+    """Dates as text in eight forms, one that is no date, and null, by match_seq % 10."""
+    t, seq = F.col("Date").cast("timestamp") + F.make_dt_interval(secs=F.col(SEQ) % 86400), F.col(SEQ)
+    form = lambda p: F.date_format(t, p)
+    forms = [form("yyyy-MM-dd"), form("yyyy-MM-dd HH:mm:ss"), F.concat(form("yyyy-MM-dd HH:mm:ss"), F.lit(".25")), form("yyyy-MM-dd'T'HH:mm:ss"), F.concat(form("yyyy-MM-dd'T'HH:mm:ss"), F.lit(".000125")), F.concat(F.lit("\t"), form("M/d/yyyy"), F.lit(" ")), form("d MMM yyyy"), F.lit("some day"), F.lit(None).cast("string"), form("yyyy/M/d")]
+    text = F.lit(None).cast("string")
+    for i, x in enumerate(forms):
+        text = F.when(seq % 10 == i, x).otherwise(text)
+    return matches(spark, d).withColumn("Date", text)
+
+
+query("clean_dates", f"""WITH {_WRITTEN} SELECT match_seq, d AS "Date" FROM g""")(lambda spark, d: C.convert_dates(_written(spark, d)).select(SEQ, F.col("Date").cast("timestamp_ntz").alias("Date")))
+query("validate_dates", f"""WITH {_WRITTEN} SELECT sum((form = 7)::INT)::BIGINT AS bad_dates, sum((form = 8)::INT)::BIGINT AS "nulls_Date" FROM g""")(lambda spark, d: V.validation_counts(_written(spark, d)).select("bad_dates", "nulls_Date"))
+query("prof_infinite", f"""WITH {_M} SELECT 'a' AS feature, sum((match_seq % 7 = 0)::INT)::BIGINT AS missing, sum((match_seq % 7 <> 0 AND match_seq % 11 = 0)::INT)::BIGINT AS infinite FROM m
+  UNION ALL SELECT 'b', sum((match_seq % 13 = 0)::INT)::BIGINT, 0::BIGINT FROM m""")(
+    lambda spark, d: Q.missing(matches(spark, d).select(F.when(F.col(SEQ) % 7 == 0, float("nan")).when(F.col(SEQ) % 11 == 0, float("-inf")).otherwise(F.col("FTHG").cast("double")).alias("a"), F.when(F.col(SEQ) % 13 != 0, F.col("FTAG")).alias("b")))
+)
 query("clean_alias_map", f"""WITH {_M} SELECT match_seq, CASE "HomeTeam" WHEN 'TEAM_1' THEN 'One' WHEN 'TEAM_2' THEN 'Two' ELSE "HomeTeam" END AS "HomeTeam", CASE "AwayTeam" WHEN 'TEAM_1' THEN 'One' WHEN 'TEAM_2' THEN 'Two' ELSE "AwayTeam" END AS "AwayTeam" FROM m""")(
     lambda spark, d: C.apply_aliases(matches(spark, d), {"TEAM_1": "One", "TEAM_2": "Two"}).select(SEQ, "HomeTeam", "AwayTeam")
 )
@@ -221,8 +242,14 @@ _POS = f"""{_U}, p AS (SELECT match_seq, "Date", row_number() OVER (ORDER BY "Da
 z AS (SELECT match_seq, "Date", position, CASE WHEN position < CAST(floor(n * 0.7::DOUBLE) AS BIGINT) THEN 'train' WHEN position < CAST(floor(n * 0.7::DOUBLE) AS BIGINT) + CAST(floor(n * 0.15::DOUBLE) AS BIGINT) THEN 'validation' ELSE 'test' END AS split FROM p)"""
 query("split_chrono_assign", f"WITH {_POS} SELECT match_seq, position, split FROM z")(lambda spark, d: D.split_chronological(unique_matches(spark, d)).select(SEQ, "position", "split"))
 query("split_metadata", f'WITH {_POS} SELECT split, count(*) AS n, min("Date") AS first, max("Date") AS last FROM z GROUP BY split')(lambda spark, d: D.split_metadata(D.split_chronological(unique_matches(spark, d))))
-query("split_random")(lambda spark, d: D.split_random(matches(spark, d), 0.2, 0.1).select(SEQ, "split"))
-query("split_stratified")(lambda spark, d: D.split_random(matches(spark, d), 0.2, 0.1, stratify="FTR").select(SEQ, "FTR", "split"))
+def _random_sql(stratum: str) -> str:
+    """MD5 order, quotas rounded, by stratum."""
+    return f"""r AS (SELECT *, row_number() OVER (PARTITION BY {stratum} ORDER BY md5('42:' || match_seq), match_seq) - 1 AS r, count(*) OVER (PARTITION BY {stratum}) AS n FROM m),
+  s AS (SELECT *, CASE WHEN r < round(n * 0.1) THEN 'validation' WHEN r < round(n * 0.1) + round(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM r)"""
+
+
+query("split_random", f"WITH {_M}, {_random_sql('1')} SELECT match_seq, split FROM s")(lambda spark, d: D.split_random(matches(spark, d), 0.2, 0.1).select(SEQ, "split"))
+query("split_stratified", f"""WITH {_M}, {_random_sql('"FTR"')} SELECT match_seq, "FTR", split FROM s""")(lambda spark, d: D.split_random(matches(spark, d), 0.2, 0.1, stratify="FTR").select(SEQ, "FTR", "split"))
 
 # ---------------------------------------------------------------- preprocessing
 for _k, _f in (("mean", "avg(odd)"), ("median", "median(odd)"), ("mode", "(SELECT odd FROM f WHERE odd IS NOT NULL GROUP BY odd ORDER BY count(*) DESC, odd LIMIT 1)")):
