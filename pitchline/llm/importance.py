@@ -1,9 +1,8 @@
 """Quality by importance resampling.
 
 Two generative models over hashed word 1- and 2-grams (case kept), one of the target text and one of all raw
-text, are counted over all their documents. A document's log weight is the mean log ratio of the two over its
-n-grams, times `effective` (or its own number, if less), as if each document were that long; without that a long text's
-weight would say little but its length. The sample takes the k largest of log weight + Gumbel noise, which is sampling
+text, are counted over all their documents. A document's log weight is the sum of the log ratio of the two over all its
+n-grams: the ratio of its probabilities under the two models. The sample takes the k largest of log weight + Gumbel noise, which is sampling
 without replacement in proportion to the weights; the noise is a hash of the id and the seed, so reruns agree.
 """
 
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 
 from .common import U, cut, lean, mix, maybe_broadcast, slices, table, text_buffers, unique_documents, word_hashes, word_spans
 
-BITS, SEED, FRACTION, EFFECTIVE = 16, 11, 0.75, 100
+BITS, SEED, FRACTION = 16, 11, 0.75
 _BINS, CHUNK = 4096, 4096
 
 
@@ -78,11 +77,11 @@ def gram_model(texts: DataFrame, bits: int = BITS) -> np.ndarray:
     return out
 
 
-def _score(ratio, bits: int, effective: int):
+def _score(ratio, bits: int):
     def run(batches):
         r = np.frombuffer(ratio.value, np.float64)
         for b in batches:
-            w = [float(r[x].mean()) * min(effective, len(x)) if len(x) else 0.0 for x in _grams(b.column(1), bits)]
+            w = [float(r[x].sum()) for x in _grams(b.column(1), bits)]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(w, pa.float64())], names=["doc_id", "log_weight"])
 
     return run
@@ -127,7 +126,7 @@ def largest(rows: DataFrame, value: str, tie: str, k: int) -> tuple[float, int]
     return row[value], ties.orderBy(tie).limit(left).agg(F.max(tie)).first()[0]
 
 
-def resample(documents: DataFrame, target: DataFrame, fraction: float = FRACTION, seed: int = SEED, bits: int = BITS, effective: int = EFFECTIVE) -> DataFrame:
+def resample(documents: DataFrame, target: DataFrame, fraction: float = FRACTION, seed: int = SEED, bits: int = BITS) -> DataFrame:
     """(doc_id, log_weight, gumbel_key, selected 0/1) of every document; round(fraction * documents) are selected.
 
     target: ids of the documents that stand for the target text. Null, empty and wordless texts weigh log 1. Ties go to
@@ -141,7 +140,7 @@ def resample(documents: DataFrame, target: DataFrame, fraction: float = FRACTION
     p_raw, p_aim = (raw + 1) / (raw.sum() + len(raw)), (aim + 1) / (aim.sum() + len(aim))
     ratio = np.log(p_aim) - np.log(p_raw) if aim.sum() else np.zeros(len(raw))
     shared = spark.sparkContext.broadcast(ratio.tobytes())  # 2**bits numbers, whatever the input
-    scored = docs.mapInArrow(lean(_score(shared, bits, effective)), "doc_id long, log_weight double")
+    scored = docs.mapInArrow(lean(_score(shared, bits)), "doc_id long, log_weight double")
     u = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(seed)), 11).cast("double") + 0.5) / float(2**53)
     scored = cut(scored.withColumn("gumbel_key", F.col("log_weight") - F.log(-F.log(u))), "weights")
     at = largest(scored, "gumbel_key", "doc_id", round(fraction * scored.count()))

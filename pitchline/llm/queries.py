@@ -6,7 +6,7 @@ from .ann import op5_ivfpq
 from .importance import op4_importance_resampling
 from .line_dedup import OP10_SQL, op10_line_dedup
 from .mixing import op2_mixing
-from .ngram_join import op1_ngram_jaccard_join
+from .ngram_join import OP1_SQL, op1_ngram_jaccard_join
 from .packing import op7_best_fit_packing
 from .syncmers import op9_syncmers
 from .token_files import op6_token_files
@@ -28,4 +28,4 @@ QUERIES = {
         op10_line_dedup,
     )
 }
-SQL = {"op8_warc": OP8_SQL, "op10_line_dedup": OP10_SQL}
+SQL = {"op1_ngram_jaccard_join": OP1_SQL, "op8_warc": OP8_SQL, "op10_line_dedup": OP10_SQL}

@@ -66,6 +66,18 @@ def test_ngram_join_equals_brute_force(docs, corpus, monkeypatch):
     assert jaccard_classes(docs.limit(0)).count() == 0
 
 
+def test_ngram_join_equals_its_sql(spark):
+    import duckdb
+
+    from pitchline.llm.ngram_join import OP1_SQL, op1_ngram_jaccard_join
+
+    d = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{d}/documents.parquet'")
+    want = con.execute(OP1_SQL).fetchall()
+    assert sorted(map(tuple, op1_ngram_jaccard_join(spark, d).collect())) == sorted(want) and any(a != c for a, _, c in want)
+
+
 def test_shared_tokens():
     from pitchline.llm.ngram_join import _shared_only
 
@@ -391,6 +403,41 @@ def test_importance_resampling(spark, docs, corpus):
     assert largest(ties, "v", "id", 30) == (1.0, 59)
 
 
+def test_importance_weights_equal_brute_force(spark, docs, corpus):
+    """Counts, ratios and weights again in plain Python; only the two hash functions are the operator's."""
+    from pitchline.llm.common import U, mix, word_hashes
+    from pitchline.llm.importance import resample
+
+    bits, long_ = 9, " ".join(f"tail{i % 700}" for i in range(20_000))
+    t = texts(corpus) | {9000: long_, 9003: long_}
+    more = spark.createDataFrame([(9000, long_, "s1", 7, 1, 1), (9003, long_, None, 7, 1, 1)], docs.schema)
+    good = {*range(0, 120, 6), 9000}
+
+    def grams(text):
+        w = [int(word_hashes(np.frombuffer(x.encode(), np.uint8), np.array([0]), np.array([len(x.encode())]), cased=True)[0]) for x in W.findall(text or "")]
+        two = [int(mix(np.array([(a * 0xA24BAED4963EE407 + b) % 2**64], np.uint64))[0]) for a, b in zip(w, w[1:])]
+        return [x >> (64 - bits) for x in w + two]
+
+    of = {i: grams(x) for i, x in t.items()}
+    raw, aim = np.ones(1 << bits), np.ones(1 << bits)
+    for i, g in of.items():
+        for x in g:
+            raw[x] += 1
+            aim[x] += i in good
+    ratio = np.log(aim / aim.sum()) - np.log(raw / raw.sum())
+    target = spark.createDataFrame([(i,) for i in good] + [(0,), (777_777,)], "doc_id long")
+    rows = {r.doc_id: r for r in resample(docs.unionAll(more), target, 0.4, bits=bits).collect()}
+    assert sorted(rows) == sorted(t)
+    for i, g in of.items():
+        assert rows[i].log_weight == pytest.approx(sum(ratio[x] for x in g), rel=1e-9, abs=1e-9)
+    assert rows[9000].log_weight == rows[9003].log_weight and rows[9000].gumbel_key != rows[9003].gumbel_key
+    order = sorted(rows.values(), key=lambda r: (-r.gumbel_key, r.doc_id))
+    assert {r.doc_id for r in rows.values() if r.selected} == {r.doc_id for r in order[: round(0.4 * len(rows))]}
+    noise = [r.gumbel_key - r.log_weight for r in resample(spark.range(4000).selectExpr("id as doc_id", "'' as text"), target).collect()]
+    assert abs(np.mean(noise) - 0.5772) < 0.08 and abs(np.var(noise) - np.pi**2 / 6) < 0.2
+    assert U(1) and {r.log_weight for r in resample(docs, target.limit(0)).collect()} == {0.0}
+
+
 def test_nearest_neighbours(spark):
     from pitchline.llm.ann import search
 
