@@ -1,7 +1,8 @@
 """Approximate nearest neighbours: an inverted file with product-quantised residuals and exact reranking.
 
 Fit: coarse centroids and the residuals' codebooks come from a sample of at most SAMPLE vectors (those with the smallest
-id hashes), on the driver; their sizes are parameters. Index: every vector gets its nearest list and m code
+id hashes), on the driver; their sizes are parameters. How many lists a query probes is measured there too: for some of the sample's vectors, each true neighbour's
+list has a rank among the lists nearest to the vector; as many lists are probed as hold the share RECALL of those neighbours, and a few more. Index: every vector gets its nearest list and m code
 bytes, and the distance between it and what they stand for is kept. Search: a query probes its nearest lists; a list's codes are dealt over blocks of about BLOCK codes and its
 queries over blocks of QUERIES, and each pair of blocks is one group: asymmetric distances come from a table of the query's
 distances to all codewords. In each group the best `rerank` codes of a query are reranked by exact distance in double precision on
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from .common import cut, lean, table
 
 SAMPLE, BLOCK, QUERIES, RERANK, M = 20_000, 8192, 256, 400, 16
+RECALL, ASKED = 0.97, 500
 
 
 def _kmeans(x: np.ndarray, k: int, rounds: int = 12, seed: int = 5) -> np.ndarray:
@@ -73,6 +75,21 @@ class Codec:
         return ((rest - self.books[None]) ** 2).sum(3)
 
 
+def measured_probes(codec: Codec, sample: np.ndarray, k: int, recall: float = RECALL, asked: int = ASKED) -> int:
+    """Lists to probe so that the share `recall` of the k nearest of `asked` vectors of the sample, among all of it, would be met."""
+    x = codec.pad(sample)
+    q = np.linspace(0, len(x) - 1, min(asked, len(x))).astype(np.int64)
+    near = _nearest(x[q], x, min(k + 1, len(x)))
+    at = _nearest(x, codec.coarse)
+    order = _nearest(x[q], codec.coarse, len(codec.coarse)).reshape(len(q), -1)
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.arange(order.shape[1])[None], 1)
+    ranks = np.sort(np.concatenate([place[i, at[n[n != j]]] for i, (j, n) in enumerate(zip(q, near))]))
+    if not len(ranks):
+        return 1
+    return int(min(len(codec.coarse), 1 + ranks[min(len(ranks) - 1, int(np.ceil(recall * len(ranks))))] + 1))
+
+
 def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return col.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim) if isinstance(col, pa.ChunkedArray) else col.flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
 
@@ -153,7 +170,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 def search(vectors: DataFrame, is_query, k: int = 10, lists: int | None = None, probes: int | None = None, m: int = M, rerank: int = RERANK) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found to each row for which the condition is_query holds.
 
-    `rerank` is how many codes of a query and block are compared exactly at once, before the error bound decides on the others.
+    lists: half the root of the number of vectors, at most 1,024, unless given; probes: measured_probes, unless given. `rerank` is how many codes of a query and block are compared exactly at once, before the error bound decides on the others.
     A query is never its own neighbour; ties go to smaller ids. Rows that `usable` refuses neither ask nor answer. An empty table gives no
     rows; extra columns are not read.
     """
@@ -163,9 +180,10 @@ def search(vectors: DataFrame, is_query, k: int = 10, lists: int | None = None,
     if n < 2:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     lists = lists or int(max(1, min(1024, n**0.5 / 2)))
-    probes = probes or max(8, -(-lists * 3 // 4))  # vectors without clusters need that many for a recall over 0.9
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("v").collect()
-    codec = Codec(np.array([r.v for r in sample], np.float64), lists, m)
+    sample = np.array([r.v for r in sample], np.float64)
+    codec = Codec(sample, lists, m)
+    probes = probes or measured_probes(codec, sample, k)
     shared = spark.sparkContext.broadcast(codec)  # at most 1024 centroids and m*256 codewords
     queries = rows.where(is_query).select("vec_id", "v")
     index = cut(rows.withColumn("ask", is_query).mapInArrow(lean(_encode(shared, probes)), "list int, vec_id long, code binary, miss float, v array<double>"), "index")

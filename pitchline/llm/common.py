@@ -131,11 +131,10 @@ def position(rows: DataFrame, *order) -> DataFrame:
     """Adds `position`, from 0, of each row in the order of the whole table, without one task for all rows."""
     laid = cut(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id()), "sorted")
     laid = laid.withColumn("_part", F.shiftright("_id", 33))
-    starts, at = {}, 0
-    for r in laid.groupBy("_part").agg(F.count("*").alias("n")).orderBy("_part").collect():  # a row a partition
-        starts[r["_part"]], at = at, at + r.n
-    first = F.create_map(*[F.lit(x) for kv in starts.items() for x in kv])[F.col("_part")] if starts else F.lit(0)
-    return laid.withColumn("position", first + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id", "_part")
+    counts = laid.groupBy("_part").agg(F.count("*").alias("_n"))  # a row a range
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = laid.join(F.broadcast(counts.select("_part", before.alias("_first"))), "_part")
+    return rows.withColumn("position", F.col("_first") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))).drop("_id", "_part", "_first")
 
 
 # ---------------------------------------------------------------- memory of Python workers

@@ -484,6 +484,34 @@ def test_nearest_neighbours_in_large_groups_of_near_copies(spark):
         assert found == np.argsort(d)[:10].tolist()
 
 
+def test_nearest_neighbours_with_default_settings(spark, monkeypatch):
+    """Recall without clusters and with them, each with as many lists probed as was measured; ties over blocks go to smaller ids."""
+    from pitchline.llm import ann
+
+    monkeypatch.setattr(ann, "BLOCK", 100)
+    rng = np.random.default_rng(7)
+    loose = rng.normal(size=(3000, 32))
+    tight = (rng.normal(size=(60, 32)) * 8)[rng.integers(0, 60, 3000)] + rng.normal(size=(3000, 32))
+    tight[500:540] = tight[500]  # 40 equal vectors, dealt over several blocks of a list
+    probed = {}
+    for name, x in (("loose", loose), ("tight", tight)):
+        codec = ann.Codec(x, int(len(x) ** 0.5 / 2))
+        probed[name] = ann.measured_probes(codec, x, 10)
+        df = spark.createDataFrame([(i, r) for i, r in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+        got = defaultdict(list)
+        for r in ann.search(df, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
+            got[r.query_id].append(r.vec_id)
+        hit = 0
+        for q in range(0, 3000, 100):
+            d = np.sqrt(((x - x[q]) ** 2).sum(1))
+            d[q] = np.inf
+            hit += len(set(np.lexsort((np.arange(3000), d))[:10].tolist()) & set(got[q]))
+        assert sorted(got) == list(range(0, 3000, 100)) and hit >= 0.93 * 300, (name, hit)
+        if name == "tight":
+            assert got[500] == list(range(501, 511))
+    assert probed["tight"] < probed["loose"]
+
+
 def test_toxicity(spark):
     from pitchline.llm.toxicity import HIDDEN, Net, _sigmoid, score_documents, train
 
