@@ -10,6 +10,7 @@ from pyspark.sql.types import NumericType, StringType
 
 from ..errors import DataProcessingError, PreprocessingError
 from ..schema import SEQ
+from .order import quantiles
 
 _DATES = ("date", "time", "timestamp", "dt")
 
@@ -43,12 +44,15 @@ def prepare_labels(df: DataFrame, label: str) -> DataFrame:
 
 def imputation(df: DataFrame, numerical: list[str], categorical: list[str], strategy: str = "mean", categories: str = "most_frequent", constant: float = 0.0) -> dict:
     """Fill values: mean, median or mode (the smallest on a tie) or a constant; categories most_frequent or "MISSING"."""
-    how = {"mean": F.avg, "median": F.median, "mode": lambda c: F.mode(c, True).cast("double"), "most_frequent": lambda c: F.mode(c, True).cast("double")}
+    how = {"mean": F.avg, "median": None, "mode": lambda c: F.mode(c, True).cast("double"), "most_frequent": lambda c: F.mode(c, True).cast("double")}
     if strategy not in (*how, "constant") or categories not in ("most_frequent", "constant"):
         raise PreprocessingError(f"no strategy {strategy} or {categories}")
     fills: dict = {c: constant for c in numerical} if strategy == "constant" else {}
     fills |= {c: "MISSING" for c in categorical} if categories == "constant" else {}
     real = lambda c: F.when(~F.isnan(_c(c).cast("double")), _c(c).cast("double"))
+    if strategy == "median" and numerical:
+        found = {r.feature: r.value for r in quantiles(df, {c: real(c) for c in numerical}, [0.5]).collect()}  # a row a column
+        fills |= {c: found.get(c, constant) for c in numerical}
     asked = [how[strategy](real(c)).alias(c) for c in numerical if c not in fills] + [F.mode(_c(c), True).alias(c) for c in categorical if c not in fills]
     if asked:
         row = df.agg(*asked).first().asDict()

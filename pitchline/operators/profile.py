@@ -12,6 +12,7 @@ from pyspark.sql.types import NumericType
 
 from ..errors import ValidationFailed
 from ..schema import SEQ
+from .order import quantiles
 
 CHUNK = 40
 
@@ -54,12 +55,15 @@ def missing(df: DataFrame) -> DataFrame:
 
 def describe(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     """(feature, count, mean, std, min, q25, q50, q75, max, missing): exact quantiles, rounded to 6 places."""
-    d = lambda c: _real(c).cast("double")
-    return _stack(df, cols or numeric_columns(df), {
+    d, cols = lambda c: _real(c).cast("double"), cols or numeric_columns(df)
+    base = _stack(df, cols, {
         "count": lambda c: F.count(_real(c)), "mean": lambda c: _six(F.avg(d(c))), "std": lambda c: _six(F.stddev_samp(d(c))), "min": lambda c: _six(F.min(d(c))),
-        **{f"q{p}": (lambda p: lambda c: _six(F.percentile(d(c), p / 100)))(p) for p in (25, 50, 75)},
         "max": lambda c: _six(F.max(d(c))), "missing": lambda c: F.count("*") - F.count(_real(c)),
     })
+    shares = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
+    q = quantiles(df, {c: d(c) for c in cols}, list(shares.values()))
+    q = q.groupBy("feature").agg(*[_six(F.max(F.when(F.col("share") == s, F.col("value")))).alias(n) for n, s in shares.items()])
+    return base.join(F.broadcast(q), "feature", "left").select("feature", "count", "mean", "std", "min", *shares, "max", "missing")
 
 
 def constants(df: DataFrame, threshold: float = 0.01) -> DataFrame:

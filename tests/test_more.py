@@ -157,6 +157,17 @@ def test_order_over_slots(spark, monkeypatch):
     assert C.row_numbers(df.select("v"), ["v"]).agg(F.min("match_seq"), F.max("match_seq"), F.count_distinct("match_seq")).first()[:] == (1, 900, 900)
 
 
+def test_quantiles_are_exact(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, float("nan"), 3.0, rng.random()]), float(rng.randint(0, 5)), None) for _ in range(1001)]
+    df = spark.createDataFrame(rows, "a double, b double, c double").repartition(4)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
+    got = {(r.feature, r.share): r.value for r in O.quantiles(df, {c: F.col(c) for c in "abc"}, shares).collect()}
+    want = df.select(*[F.percentile(F.when(~F.isnan(c), F.col(c)), shares).alias(c) for c in "ab"]).first()
+    assert got == {(c, s): pytest.approx(v) for c in "ab" for s, v in zip(shares, want[c])}
+    assert P.imputation(df, ["a", "c"], [], "median", constant=7.0) == {"a": pytest.approx(want.a[3]), "c": 7.0}
+
+
 def test_preprocess_interfaces(spark):
     df = spark.createDataFrame([(0, 1.0, "b"), (1, 2.0, "a")], "match_seq long, v double, c string")
     assert P.prepare_features(df, ["c", "none"]).columns == ["match_seq", "v"] and P.prepare_labels(df, "c").columns == ["match_seq", "c"]
