@@ -55,6 +55,26 @@ def with_strict(view: DataFrame, keys: list[str], facts, limit: int | None = 5,
     return at_day_start(run, keys, {prefix + f: f"_run_{f}" for f in facts}).drop(*[f"_run_{f}" for f in facts])
 
 
+def with_halo(view: DataFrame, rows: int, period: str) -> DataFrame:
+    """The team view cut by calendar period (date_trunc's units), so that one team's rows are many tasks' work: adds _period and _ghost.
+
+    Into each period of a team come, as ghosts, its last `rows` rows at home and its last `rows` away before it. Each period offers its own last
+    `rows` rows of either kind; those of the `rows` latest periods that have any are gathered. Windows by (team, _period) over at most
+    `rows` rows are then those by team; leave the ghosts out afterwards.
+    """
+    cols, by = view.columns, Window.partitionBy("team", "is_home")
+    view = view.withColumn("_period", F.date_trunc(period, "Date"))
+    back = F.row_number().over(Window.partitionBy("team", "is_home", "_period").orderBy(F.desc("Date"), F.desc(SEQ)))
+    row = F.struct("Date", SEQ, *[c for c in cols if c not in ("Date", SEQ)])
+    packs = view.withColumn("_back", back).where(F.col("_back") <= rows).groupBy("team", "is_home", "_period").agg(F.sort_array(F.collect_list(row)).alias("_pack"))
+    grid = view.select("team", "_period").distinct().select("team", "_period", F.explode(F.array(F.lit(True), F.lit(False))).alias("is_home"))
+    packs = grid.join(packs, ["team", "is_home", "_period"], "left").withColumn("_n", F.sum(F.col("_pack").isNotNull().cast("long")).over(by.orderBy("_period")))
+    packs = packs.withColumn("_past", F.collect_list("_pack").over(by.orderBy("_n").rangeBetween(-rows, Window.currentRow)))
+    past = F.flatten(F.when(F.col("_pack").isNull(), F.col("_past")).otherwise(F.slice("_past", 1, F.size("_past") - 1)))  # a period's own pack is its last
+    ghosts = packs.withColumn("_past", past).select("_period", F.explode(F.slice("_past", F.greatest(F.lit(1), F.size("_past") - rows + 1), rows)).alias("_row"))
+    return view.withColumn("_ghost", F.lit(False)).unionByName(ghosts.select("_period", *[F.col(f"_row.`{c}`").alias(c) for c in cols], F.lit(True).alias("_ghost")))
+
+
 def strict_of(view: DataFrame, keys: list[str], facts, limit: int | None, only: Column) -> DataFrame:
     """(keys, Date, facts): sums over the last `limit` rows of earlier Dates for which `only` holds, for every (keys, Date) of the view.
 

@@ -67,26 +67,28 @@ class TeamGenerator(FeatureGenerator):
         return f.select(SEQ, *[F.col(f"`{new}`").alias(c) for c, new in columns[self.name].items()])
 
 
-def shared_view(matches: DataFrame, kinds: set[tuple[str, int]]) -> DataFrame:
-    """The team view with columns kind_window_fact for each (kind, window): all from one exchange by team."""
+def shared_view(matches: DataFrame, kinds: set[tuple[str, int]], period: str | None = None) -> DataFrame:
+    """The team view with columns kind_window_fact for each (kind, window): all from one exchange by team, or by team and period (see history.with_halo)."""
     scored = any(k != "rest" for k, _ in kinds)
-    view = H.team_view(matches) if scored else H.team_view(matches.select(SEQ, "Date", "HomeTeam", "AwayTeam"))
+    view, cut = H.team_view(matches if scored else matches.select(SEQ, "Date", "HomeTeam", "AwayTeam")), []
+    if period:
+        view, cut = H.with_halo(view, max(1, *(w for _, w in kinds)), period), ["_period"]
     for window in sorted({w for k, w in kinds if k in ("strict", "running")}):
-        view = H.with_running(view, ["team"], H.FACTS, window, f"running_{window}_")
+        view = H.with_running(view, ["team", *cut], H.FACTS, window, f"running_{window}_")
         if ("strict", window) in kinds:
-            view = H.at_day_start(view, ["team"], {f"strict_{window}_{f}": f"running_{window}_{f}" for f in H.FACTS})
+            view = H.at_day_start(view, ["team", *cut], {f"strict_{window}_{f}": f"running_{window}_{f}" for f in H.FACTS})
     if any(k == "rest" for k, _ in kinds):
-        view = view.withColumn("_last", F.lag("Date").over(Window.partitionBy("team").orderBy("Date", SEQ)))
-        view = H.at_day_start(view, ["team"], {"rest_0_before": "_last"})
+        view = view.withColumn("_last", F.lag("Date").over(Window.partitionBy("team", *cut).orderBy("Date", SEQ)))
+        view = H.at_day_start(view, ["team", *cut], {"rest_0_before": "_last"})
     for window in sorted({w for k, w in kinds if k == "venue"}):
-        view = H.with_strict(view, ["team", "is_home"], H.FACTS, window, f"venue_{window}_")
-    return view
+        view = H.with_strict(view, ["team", *cut, "is_home"], H.FACTS, window, f"venue_{window}_")
+    return view.where(~F.col("_ghost")) if period else view
 
 
-def team_features(matches: DataFrame, generators: list[TeamGenerator]) -> tuple[DataFrame, dict[str, dict[str, str]]]:
+def team_features(matches: DataFrame, generators: list[TeamGenerator], period: str | None = None) -> tuple[DataFrame, dict[str, dict[str, str]]]:
     """((match_seq, generator::column ...), each generator's columns and their names there) by one pass over the team view."""
     span = lambda g, kind: {"rest": 0, "running": g.running_window}.get(kind, g.window)
-    view = shared_view(matches, {(k, span(g, k)) for g in generators for k in g.needs})
+    view = shared_view(matches, {(k, span(g, k)) for g in generators for k in g.needs}, period)
     sides = {}
     for i, g in enumerate(generators):
         for c, x in g.side(lambda kind, fact: F.col(f"{kind}_{span(g, kind)}_{fact}")).items():  # noqa: B023
@@ -252,10 +254,11 @@ def combine(base: DataFrame, features: DataFrame) -> DataFrame:
     return base.join(features, SEQ, "left") if len(features.columns) > 1 else base
 
 
-def run_features(matches: DataFrame, generators=None, prefix: bool = True) -> DataFrame:
+def run_features(matches: DataFrame, generators=None, prefix: bool = True, period: str | None = None) -> DataFrame:
     """All generators' columns beside the matches, in their order; prefixed `generator::column` so that equal names stay apart.
 
     A generator whose columns are missing is left out with a warning, as `supports` says. TeamGenerators share one pass; each other one has its own.
+    period: a calendar unit ("year", "month", "day") by which a team's rows are dealt over tasks, for teams with too many rows for one.
     """
     given = generators if generators is not None else REGISTRY.instances()
     able = [g for g in given if g.supports(matches)]
@@ -263,7 +266,7 @@ def run_features(matches: DataFrame, generators=None, prefix: bool = True) -> Da
         warnings.warn(f"{g.name} is left out: {', '.join(c for c in g.required if c not in matches.columns)} missing", stacklevel=2)
     teams = [g for g in able if isinstance(g, TeamGenerator) and type(g).generate is TeamGenerator.generate]
     out, order = matches, []
-    shared, names = team_features(matches, teams) if teams else (None, {})
+    shared, names = team_features(matches, teams, period) if teams else (None, {})
     if shared is not None:
         out = combine(out, shared)
     for g in able:

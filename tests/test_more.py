@@ -221,6 +221,8 @@ def test_generators_share_a_pass(spark):
     assert "head_to_head::h2h_draws" in some.columns and "recent_form::home_wins_last5" not in some.columns
     with pytest.raises(X.FeatureError):
         G.run_features(m, [G.GoalDifference(), G.GoalDifference()], prefix=False)
+    for period in ("year", "day"):
+        assert G.run_features(m, period=period).orderBy("match_seq").collect() == together
     wide = G.run_features(m, [G.GoalDifference({"window": 3}), G.RecentForm()]).drop("Date")
     assert wide.count() == m.count()
 
