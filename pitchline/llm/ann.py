@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, lean, table
+from .common import cut, lean, table, tune
 
 SAMPLE, BLOCK, QUERIES, RERANK, M = 20_000, 8192, 256, 400, 16
 RECALL, ASKED = 0.97, 500
@@ -197,4 +197,5 @@ def search(vectors: DataFrame, is_query, k: int = 10, lists: int | None = None,
 
 
 def op5_ivfpq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     return search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)

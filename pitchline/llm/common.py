@@ -48,7 +48,18 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables that cut wrote and that nothing will read again; others are let be."""
+    for t in tables:
+        path = None if t is None else getattr(t, "_cut_path", None)
+        if path:
+            p = t.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def open_fs(uri: str):
@@ -108,6 +119,17 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def tune(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most so many rows in this session, where its owner has left Spark's default of 10,000.
+
+    Rows here hold whole texts: a batch stands in native memory of the JVM and again in the worker's. Queries and pipeline stages call this; operators
+    leave the session as it is.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(rows))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, discard
 
 
 def components(edges: DataFrame, most: int = 60) -> DataFrame:
@@ -25,11 +25,12 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         large = cut(large, "large")
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).distinct()
-        e = cut(small, "small")
+        old, e = e, cut(small, "small")
+        discard(old, large)
         now = e.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(2**40)))).first()
         if mark == now:
             break
         mark = now
     else:
-        raise RuntimeError("components: no fixed point")
+        raise RuntimeError(f"components: no fixed point after {most} rounds")
     return e.select(F.col("u").alias("id"), F.col("v").alias("component")).union(e.select(F.col("v").alias("id"), F.col("v").alias("component"))).distinct()

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U, cut, lean, mix, maybe_broadcast, slices, table, text_buffers, unique_documents, word_hashes, word_spans
+from .common import U, cut, lean, maybe_broadcast, mix, slices, table, text_buffers, tune, unique_documents, word_hashes, word_spans
 
 BITS, SEED, FRACTION = 16, 11, 0.75
 _BINS, CHUNK = 4096, 4096
@@ -151,4 +151,5 @@ def resample(documents: DataFrame, target: DataFrame, fraction: float = FRACTION
 
 
 def op4_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels").where("quality = 1"))

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, position, rank_in_class, table, unique_documents
+from .common import cut, discard, position, rank_in_class, table, tune, unique_documents
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -55,6 +55,7 @@ def tilts(sizes: DataFrame, sources: DataFrame, cap: float, tolerance: float = 1
     full = F.col("rho") >= cap * (1 - 1e-12)
     rows = cut(sizes.where("size > 0").join(goal.where(~full), "key").select("key", F.col("n").cast("double").alias("n"), (F.col("size") / F.col("mean")).alias("x"), (F.col("rho") * F.col("docs")).alias("t")), "tilt")
     state = goal.where(~full).select("key", F.lit(0.0).alias("b"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
+    written = None
     raw = F.exp(F.least(F.col("b") * F.col("x"), F.lit(700.0)))
     for _ in range(rounds):
         for _ in range(chained):
@@ -69,7 +70,9 @@ def tilts(sizes: DataFrame, sources: DataFrame, cap: float, tolerance: float = 1
             met = F.abs(F.col("g") - F.col("t")) <= tolerance * F.col("t")
             state = sums.select("key", F.when(met, F.col("b")).when(inside, step).otherwise(halved).alias("b"), "lo", "hi", met.alias("met"))
             last, state = state, state.drop("met")
-        last = cut(last, "newton")
+        last, before = cut(last, "newton"), written
+        discard(before)
+        written = last
         if not last.where(~F.col("met")).limit(1).count():
             break
         state = last.drop("met")
@@ -118,4 +121,5 @@ def mix_sources(documents: DataFrame, weights=(3, 1, 2), share: float = 1.5, cap
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import U, as_long, cut, lean, maybe_broadcast, mix, shingles, table, unique_documents
+from .common import U, as_long, cut, lean, maybe_broadcast, mix, shingles, table, tune, unique_documents
 from .graph import components
 
 BLOCK_DOCS, BLOCK_TOKENS, LEAST = 48, 60_000, 2
@@ -264,6 +264,7 @@ def jaccard_classes(documents: DataFrame, k: int = 5, num: int = 80, den: int =
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     return jaccard_classes(table(spark, sf_dir, "documents"), k=4, num=85, den=100)
 
 

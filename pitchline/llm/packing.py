@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, lean, table, unique_documents
+from .common import cut, discard, lean, table, tune, unique_documents
 from .tokens import encoder
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -134,7 +134,7 @@ class Packing:
 
     def __init__(self, spark: SparkSession, capacity: int):
         self.spark, self.capacity, self.steps, self.placed = spark, capacity, 0, []
-        self.gaps = spark.createDataFrame([], "seq long, gap long")
+        self.gaps, self.swept = spark.createDataFrame([], "seq long, gap long"), None
 
     def place(self, rows: DataFrame) -> None:
         """rows: (rid, length, seq, at), at 0 in a sequence that opens."""
@@ -142,7 +142,8 @@ class Packing:
         self.placed.append(rows)
         opened = rows.where("at = 0").select("seq", F.lit(self.capacity).cast("long").alias("gap"))
         change = self.gaps.union(opened).union(rows.select("seq", (-F.col("length")).alias("gap")))
-        self.gaps = cut(change.groupBy("seq").agg(F.sum("gap").alias("gap")).where("gap > 0"), "gaps")
+        before, self.gaps = self.gaps, cut(change.groupBy("seq").agg(F.sum("gap").alias("gap")).where("gap > 0"), "gaps")
+        discard(before)
 
     def match(self, pieces: DataFrame, n: int, low: int, high: int) -> tuple[DataFrame, int]:
         """One superstep for n pieces (rid, length) of lengths low to high: (those left, how many they are)."""
@@ -156,6 +157,8 @@ class Packing:
         order = [F.desc("size"), F.asc("kind"), F.xxhash64("id", "slot"), F.asc("id"), F.asc("slot")]
         ranges = max(1, min(self.spark.sparkContext.defaultParallelism, (n + g.n) // 1000), (n + g.n) // RANGE_ROWS)
         swept = cut(rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(lean(_sweep), _SWEPT), "swept")
+        discard(self.swept)  # the pieces left of it are in the new one
+        self.swept = swept
         seen = swept.groupBy("part").agg(F.count(F.when(F.col("kind") == 1, 1)).alias("pieces"), F.count(F.when(F.col("kind") == 0, 1)).alias("slots")).orderBy("part").collect()  # a row a range
         plan, settled = settle_ranges([(r.part, r.pieces, r.slots) for r in seen])
         pairs = swept.where("kind = 2").select("rid", "length", "seq", "gap", "slot")
@@ -242,4 +245,5 @@ def packed_ids(documents: DataFrame, packed: DataFrame, capacity: int = 4096, en
 
 
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     return pack_documents(table(spark, sf_dir, "documents"))

@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U, as_long, cut, lean, mix, open_fs, shared_dir, table, unique_documents, write_file
+from .common import U, as_long, cut, lean, mix, open_fs, shared_dir, table, tune, unique_documents, write_file
 from .tokens import encoder
 
 SHARD_CHARS, BUCKET_KEYS, GAMMA = 32_000_000, 20_000, 1.5
@@ -261,6 +261,7 @@ def read_token_files(keys: DataFrame, path: str) -> DataFrame:
 
 
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     docs = table(spark, sf_dir, "documents")
     path = shared_dir(spark, "tokens")
     write_token_files(docs, path)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import U, lean, mix, release, slices, table, text_buffers, unique_documents, word_hashes, word_spans
+from .common import U, lean, mix, release, slices, table, text_buffers, tune, unique_documents, word_hashes, word_spans
 
 WINDOW, STRIDE, DIM, HIDDEN, CHARS, VOCAB = 32, 16, 8, 8, 4096, 20_000
 PER_CLASS, PER_DOC, LOUD, STEPS, THRESHOLD = 2500, 6, 2, 300, 0.3
@@ -204,8 +204,8 @@ class Net:
         return np.where(np.isfinite(z), _sigmoid(np.clip(self.scale * (np.where(np.isfinite(z), z, 0) - self.shift) + base, -30, 30)), 0.0)
 
 
-def train(texts: list[str], labels: np.ndarray, seed: int = 3) -> Net:
-    """Fit on all texts but every fifth, which set shift and scale. Labels are 0 or 1; with one class all score 0."""
+def train(texts, labels: np.ndarray, seed: int = 3) -> Net:
+    """Fit on all texts (a list or an Arrow array) but every fifth, which set shift and scale. Labels are 0 or 1; with one class all score 0."""
     rng = np.random.default_rng(seed)
     labels = np.asarray(labels, np.float32)
     held = np.arange(len(texts)) % 5 == 4
@@ -213,12 +213,14 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 3) -> Net:
         net = Net(np.zeros(0, np.uint64), np.zeros(0, np.float32))
         net.shift = 1e9
         return net
-    n, which, key, row, tri = _gathered(pa.array(texts, pa.large_string()))
-    pair = np.unique(which.astype(np.int64) * len(n) + np.repeat(np.arange(len(n)), n))  # each word once a text
-    word, text = pair // len(n), pair % len(n)
-    word, text = word[~held[text]], text[~held[text]]
-    del pair
-    toxic, both = np.bincount(word, labels[text], len(key)), np.bincount(word, minlength=len(key))
+    n, which, key, row, tri = _gathered(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string()))
+    del texts
+    toxic, both, first = np.zeros(len(key)), np.zeros(len(key), np.int64), np.concatenate([[0], np.cumsum(n)])
+    for i in range(len(n)):  # each word once a text
+        if not held[i]:
+            here = np.unique(which[first[i] : first[i + 1]])
+            both[here] += 1
+            toxic[here] += labels[i]
     t1, t0 = labels[~held].sum(), (1 - labels[~held]).sum()
     odds = np.log((toxic + 0.5) / (t1 + 1)) - np.log((both - toxic + 0.5) / (t0 + 1))
     odds *= both / (both + 10)  # a rare word's odds are mostly chance
@@ -235,7 +237,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 3) -> Net:
     step, rate = 0, 0.01
     weight = np.where(labels > 0, len(labels) / (2 * max(labels.sum(), 1)), len(labels) / (2 * max((1 - labels).sum(), 1))).astype(np.float32)
     tri_at = np.searchsorted(row, np.arange(len(key) + 1))
-    epochs = int(np.clip(STEPS // max(1, 2 * len(texts) // 256), 10, 60))
+    epochs = int(np.clip(STEPS // max(1, 2 * len(n) // 256), 10, 60))
     for epoch in range(epochs):
         if epoch in (1, 2, 4, 8, 16, 32):  # the windows that speak loudest in their texts
             x = net.inputs(wid, row, tri, len(key))
@@ -298,13 +300,15 @@ def fit(documents: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) ->
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where(~held_out(F.col("doc_id")))
     docs = documents.where(F.length("text") > 0).select("doc_id", "text")
     known = docs.select("doc_id").join(marks, "doc_id", "left_semi").distinct()
-    rows = {}
+    rows, r = {}, None
     for kind in (0, 1):
         some = marks.where(F.col("toxic") == kind).join(known, "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         for r in docs.join(F.broadcast(some), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).collect():  # per_class rows at most
             rows[r.doc_id] = r
     rows = sorted(rows.values(), key=lambda r: (r.doc_id * 2654435761 % 2**32, r.doc_id))
-    return train([r.text for r in rows], np.array([r.toxic for r in rows]))
+    labels, texts = np.array([r.toxic for r in rows]), [pa.array([r.text for r in rows], pa.large_string())]
+    del rows, r  # the texts are let go as soon as their words are known
+    return train(texts.pop(), labels)
 
 
 def score_documents(documents: DataFrame, net: Net, name: str = "score") -> DataFrame:
@@ -323,6 +327,7 @@ def score_documents(documents: DataFrame, net: Net, name: str = "score") -> Data
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     docs = unique_documents(table(spark, sf_dir, "documents"), "text")
     scored = score_documents(docs, fit(docs, table(spark, sf_dir, "labels"))).drop("text")
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

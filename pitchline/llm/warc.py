@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, lean, maybe_broadcast, open_fs, shared_dir, table, unique_documents, write_file
+from .common import cut, lean, maybe_broadcast, open_fs, shared_dir, table, tune, unique_documents, write_file
 
 LEVEL, BLOCK = 4, 1 << 18
 _ROWS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -178,6 +178,7 @@ def _batch(rows):
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tune(spark)
     return read_warc(write_warc(table(spark, sf_dir, "pages"), shared_dir(spark, "warc")))
 
 
