@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pitchline.llm.common import cut, maybe_broadcast, table, unique_documents, unused
+from pitchline.llm.common import cut, maybe_broadcast, table, tune, unique_documents, unused
 from pitchline.llm.line_dedup import dedup_lines
 from pitchline.llm.mixing import mix_sources
 from pitchline.llm.ngram_join import jaccard_classes
@@ -32,6 +32,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Each row is judged by its own text, so repeated rows and ids and null ids stay as they are; null, empty and wordless texts score 0 and stay. Very
     long texts are scored whole. An empty table gives no rows. Extra columns are kept, whatever their names.
     """
+    tune(spark)
     net, score = fit(docs, table(spark, sf_dir, "labels")), unused(docs, "toxicity")
     return score_documents(docs, net, score).where(F.col(score) < THRESHOLD).drop(score)
 
@@ -58,6 +59,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Null, empty and wordless texts are copies of nothing and stay. Rows without id go; repeated ids: unique_documents. An empty table
     gives no rows. Extra columns are kept, whatever their names.
     """
+    tune(spark)
     gone = cut(jaccard_classes(docs).where("doc_id <> component_id").select("doc_id"), "copies")
     return _unique(docs).join(maybe_broadcast(gone), "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
@@ -68,6 +70,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null source is a source of its own; null and empty texts have size 0 and are taken once, or twice where their source takes all it can (not at all if it
     has no words). Rows without id go; repeated ids: unique_documents. An empty table gives no rows. Extra columns are kept, whatever their names.
     """
+    tune(spark)
     n = unused(docs, "copies")
     copies = cut(mix_sources(docs).where("copies > 0").select("doc_id", F.col("copies").alias(n)), "mix")
     rows = _unique(docs).join(maybe_broadcast(copies), "doc_id")
@@ -80,6 +83,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that repeat an id are copies, all of them packed and numbered in column copy. Null and empty texts are an end id alone; rows without id go. Very
     long texts are cut into pieces. An empty table gives no rows; extra columns are not read.
     """
+    tune(spark)
     return pack_documents(docs, repeats=True)
 
 
