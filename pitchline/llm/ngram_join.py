@@ -11,7 +11,7 @@ Documents are sets of distinct k-word shingles. Two link when den * |A ∩ B| >=
    n - ceil(num*n/den) + r tokens. The order puts common tokens last (counts of all tokens of all documents in
    2**bits counters; a shared counter changes only the order and never the result), then goes by hash.
    Tokens of one document alone go before the matrix is joined; a very common token's rows are dealt over
-   tasks by document without looking for company (kept needlessly, a token only loosens a bound).
+   tasks by document without looking for company (kept needlessly, a token only loosens a bound), and its queries meet its groups in parts.
 4. A query meets the groups other than its own. Its tokens in a group's union, those before them that any other
    document shares and what follows them in the common order bound its overlap with any member, which must reach num/(num+den) of both sizes together; the group's
    smallest and largest sets bound the sizes. Only groups that pass are opened, in blocks again, and each pair's
@@ -34,7 +34,7 @@ from .graph import components
 
 BLOCK_DOCS, BLOCK_TOKENS, LEAST = 48, 60_000, 2
 HOT = 14  # a token's class is the bit length of its counter; from this one on its rows are dealt over tasks
-CHUNK = 1 << 12
+CHUNK, SHARES = 1 << 12, 64
 _SETS = "doc_id long, n long, h1 long, h2 long, k1 long, k2 long, chunk int, counts binary"
 
 
@@ -220,7 +220,8 @@ def jaccard_classes(documents: DataFrame, k: int = 5, num: int = 80, den: int =
     posting = docs.mapInArrow(lean(_prefixes(k, bits, num, den, shared)), "token long, doc_id long, n long, pos long")
     # a token far more common than a counter's usual load is shared for certain enough: its rows are dealt over tasks
     hot = max(HOT, int(np.median(classes)) + 3)
-    deal = F.expr(f"pmod(xxhash64(doc_id), shiftleft(1L, greatest(0, cast(shiftrightunsigned(token, 57) as int) - {hot - 1})))")
+    shares = F.expr(f"shiftleft(1L, greatest(0, cast(shiftrightunsigned(token, 57) as int) - {hot - 1}))")
+    deal = F.pmod(F.xxhash64("doc_id"), shares)
     posting = cut(posting.repartition("token", deal).sortWithinPartitions("token").mapInArrow(_shared_only(hot), "token long, doc_id long, n long, pos long"), "postings")
 
     # groups: verified links within blocks that share a minhash
@@ -246,7 +247,11 @@ def jaccard_classes(documents: DataFrame, k: int = 5, num: int = 80, den: int =
     smaller = (F.col("size") < F.col("s2")) | ((F.col("size") == F.col("s2")) & (F.col("g") < F.col("g2")))
     fits = (F.col("n") * den >= F.col("low2") * num) & (F.col("high2") * den >= F.col("n") * num)
     least = F.least(F.lit(LEAST), F.ceil(F.col("n") * num / den), F.ceil(F.col("low2") * num / den))
-    met = ask.join(union, "token").where(smaller & fits & able).groupBy("doc_id", "n", "g2", "s2", "low2")
+    # a common token's queries meet its groups in SHARES parts at most, each with all of the token's groups
+    parts = F.least(shares, F.lit(SHARES).cast("long"))
+    ask = ask.withColumn("share", F.pmod(F.xxhash64("doc_id"), parts))
+    union = union.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)))
+    met = ask.join(union, ["token", "share"]).where(smaller & fits & able).groupBy("doc_id", "n", "g2", "s2", "low2")
     met = met.agg(F.count("*").alias("overlap"), F.min("pos").alias("i"), F.max("pos").alias("j"), F.min("rest").alias("after"), F.max("rest").alias("most"))
     # the overlap with a set alone is what is met and what can follow the last; with a member of several, what can follow the first
     bound = F.when(F.col("s2") == 1, F.col("overlap") + F.least(F.col("n") - F.col("j"), F.col("after"))).otherwise(1 + F.least(F.col("n") - F.col("i"), F.col("most")))
