@@ -94,6 +94,12 @@ class EvaluationMetadata:
         return asdict(self) | {"created": self.created.isoformat()}
 
 
+def evaluate_predictions(df: DataFrame, model: str, dataset: str, label: str = "label", prediction: str = "prediction", score: str | None = None, split: str = "holdout", **more) -> tuple[dict, EvaluationMetadata]:
+    """(metrics, metadata) of predictions; more: version and hyperparameters of the model."""
+    found = evaluate(df, label, prediction, score)
+    return found, EvaluationMetadata(model, dataset, found["n"], split, **more)
+
+
 def export_json(spark, metrics: dict, metadata: EvaluationMetadata, path: str) -> None:
     save_json(spark, {"metadata": metadata.to_dict(), "metrics": metrics}, path)
 

@@ -48,9 +48,11 @@ def train(df: DataFrame, features: list[str], label: str = "label", algorithm: s
     missing = [c for c in (*features, label) if c not in df.columns]
     if missing:
         raise FeatureMismatchError(f"missing: {', '.join(missing)}")
-    n = df.count()
+    n, nulls = df.agg(F.count("*"), F.sum(F.col(label).isNull().cast("long"))).first()
     if not n:
         raise EvaluationError("no rows to train on")
+    if nulls:
+        raise EvaluationError(f"{nulls} rows have no label")
     began = time.time()
     stages = [VectorAssembler(inputCols=features, outputCol="_features"), REGISTRY[algorithm](seed, n).setFeaturesCol("_features").setLabelCol(label)]
     model = Pipeline(stages=stages).fit(df.withColumn(label, F.col(label).cast("double")))
@@ -95,6 +97,17 @@ def cross_validate(df: DataFrame, features: list[str], label: str = "label", alg
 
 def select(df: DataFrame, test: DataFrame, features: list[str], label: str = "label", algorithms=None, metric: str = "f1", path: str | None = None, seed: int = 42):
     """(best Training, ranking, metrics by model); a model that fails is left out, none left is an error."""
+    unknown = [a for a in algorithms or () if a not in REGISTRY]
+    if algorithms is not None and not list(algorithms):
+        raise EvaluationError("no models to choose from")
+    if unknown:
+        raise EvaluationError(f"no model {', '.join(unknown)}")
+    for name, table in (("training", df), ("test", test)):
+        lost = [c for c in (*features, label) if c not in table.columns]
+        if lost:
+            raise FeatureMismatchError(f"missing in the {name} rows: {', '.join(lost)}")
+        if table.isEmpty():
+            raise EvaluationError(f"no {name} rows")
     results, trained, failures = {}, {}, {}
     df, test = df.cache(), test.cache()  # each model reads them many times
     try:
@@ -118,6 +131,25 @@ def select(df: DataFrame, test: DataFrame, features: list[str], label: str = "la
     return best, ranking, results
 
 
+@dataclass
+class SelectionMetadata:
+    """What a selection tried, by which metric, and what came of it."""
+
+    metric: str
+    best: str
+    ranking: list
+    train_rows: int
+    features: list
+    created: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
+
+    def to_dict(self) -> dict:
+        return {k: v.isoformat() if isinstance(v, datetime) else v for k, v in self.__dict__.items()}
+
+
+def selection_metadata(best: Training, ranking: list, metric: str = "f1") -> SelectionMetadata:
+    return SelectionMetadata(metric, best.algorithm, [list(r) for r in ranking], best.train_rows, list(best.features))
+
+
 def save(t: Training, path: str, more: dict | None = None) -> None:
     from pyspark.sql import SparkSession
 

@@ -122,6 +122,11 @@ class Registry:
     def names(self) -> list[str]:
         return sorted(self._known)
 
+    def discover(self, module) -> list[str]:
+        """Register the concrete generators that a module defines and that aren't registered yet; their names."""
+        found = [x for x in vars(module).values() if isinstance(x, type) and issubclass(x, FeatureGenerator) and x.name and x.__module__ == module.__name__ and not getattr(x, "__abstractmethods__", None)]
+        return [self.register(x).name for x in found if x.name not in self._known]
+
     def reset(self) -> None:
         self._known.clear()
 
@@ -246,6 +251,17 @@ def rolling_statistics(matches: DataFrame, window: int = 5) -> DataFrame:
     return both.select(SEQ, *[F.col(f"{side.lower()}_{k}").alias(f"{side} {k}") for k in cols for side in ("Home", "Away")])
 
 
+def describe(generators=None, matches: DataFrame | None = None) -> list[dict]:
+    """Each generator's name, needs, window and, for given matches, columns; nothing is run."""
+    out = []
+    for g in generators if generators is not None else REGISTRY.instances():
+        row = {"name": g.name, "required": list(g.required), "dependencies": list(g.dependencies), "window": g.window}
+        if matches is not None and g.supports(matches):
+            row["columns"] = [c for c in g.generate(matches).columns if c != SEQ]
+        out.append(row)
+    return out
+
+
 def combine(base: DataFrame, features: DataFrame) -> DataFrame:
     """Left join on match_seq; names that clash are refused."""
     clash = (set(base.columns) & set(features.columns)) - {SEQ}

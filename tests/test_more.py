@@ -227,6 +227,25 @@ def test_generators_share_a_pass(spark):
     assert wide.count() == m.count()
 
 
+def test_metadata_of_runs(spark):
+    m = matches(spark, D1)
+    rows = {r["name"]: r for r in G.describe(matches=m)}
+    assert len(rows) == 6 and rows["rest_days"]["columns"][0] == "home_rest_days" and rows["recent_form"]["window"] == 5
+    new = G.Registry()
+    assert sorted(new.discover(G)) == sorted(rows) and new.discover(G) == []
+    df = spark.createDataFrame([(i, i % 2, i % 2, 0.2 + 0.6 * (i % 2), float(i % 2)) for i in range(40)], "match_seq long, label int, prediction int, p double, x double")
+    found, meta = E.evaluate_predictions(df, "m", "d", score="p", version="3")
+    assert found["accuracy"] == 1.0 and (meta.rows, meta.version, meta.to_dict()["model"]) == (40, "3", "m")
+    df = df.drop("prediction")
+    best, ranking, _ = M.select(df, df, ["x"], algorithms=["decision_tree"])
+    assert M.selection_metadata(best, ranking).to_dict()["best"] == "decision_tree"
+    for bad in (lambda: M.select(df, df, ["x"], algorithms=["none"]), lambda: M.select(df, df, ["x"], algorithms=[]), lambda: M.select(df, df.limit(0), ["x"]), lambda: M.train(df.withColumn("label", F.lit(None).cast("int")), ["x"]), lambda: M.train(df.limit(0), ["x"])):
+        with pytest.raises(X.EvaluationError):
+            bad()
+    with pytest.raises(X.FeatureMismatchError):
+        M.select(df, df.drop("x"), ["x"])
+
+
 def test_streaming_form_equals_the_batch(spark, tmp_path):
     from pitchline.operators.history import FACTS, team_view, with_running
     from pitchline.streaming.form import running_form
