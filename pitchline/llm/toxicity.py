@@ -23,7 +23,7 @@ from .common import U, lean, mix, release, slices, table, text_buffers, tune, un
 
 WINDOW, STRIDE, DIM, HIDDEN, CHARS, VOCAB = 32, 16, 8, 8, 4096, 20_000
 PER_CLASS, PER_DOC, LOUD, STEPS, THRESHOLD = 2500, 6, 2, 300, 0.3
-_BATCH = 2048
+_BATCH, _WORDS = 2048, 1 << 15
 
 
 def _sigmoid(x):
@@ -67,7 +67,10 @@ def _gathered(col: pa.Array):
     place[rank] = np.arange(base, dtype=np.int32)
     row, tri = place[np.concatenate(rows)], np.concatenate(tris)
     order = np.argsort(row, kind="stable")
-    return np.concatenate(ns), np.searchsorted(key[rank], np.concatenate(words)).astype(np.int32), key[rank], row[order], tri[order]
+    key = key[rank]
+    for i, w in enumerate(words):
+        words[i] = np.searchsorted(key, w).astype(np.int32)
+    return np.concatenate(ns), np.concatenate(words), key, row[order], tri[order]
 
 
 def _window_rows(n: np.ndarray):
@@ -103,12 +106,16 @@ class Net:
         return np.where(self.vocab[at] == key, at, len(self.vocab))
 
     def inputs(self, wid, row, tri, n):
-        """(n, 2*DIM) inputs of n words given their rows and trigrams."""
+        """(n, 2*DIM) inputs of n words given their rows, ascending, and trigrams."""
         out = np.empty((n, 2 * DIM), np.result_type(self.p["words"], self.p["chars"]))
         out[:, :DIM] = self.p["words"][wid]
-        size = np.maximum(np.bincount(row, minlength=n), 1)
-        for k in range(DIM):
-            out[:, DIM + k] = np.bincount(row, self.p["chars"][tri, k], n) / size
+        for i in range(0, n, _WORDS):
+            m = min(_WORDS, n - i)
+            lo, hi = np.searchsorted(row, (i, i + m))
+            r, t = row[lo:hi] - i, tri[lo:hi]
+            size = np.maximum(np.bincount(r, minlength=m), 1)
+            for k in range(DIM):
+                out[i : i + m, DIM + k] = np.bincount(r, self.p["chars"][t, k], m) / size
         return out
 
     def _walk(self, way, gate, at, mask, keep):
