@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from .ml import evaluate as E
@@ -107,10 +109,9 @@ def _all(spark, d):
 
 
 def _prefixed_sql() -> str:
-    """All generators joined; names come from the generators' own output, in their quoting."""
+    """All generators joined; names are those of their own SQL."""
     names = {"goal_difference": [f"{s}_{c}" for c in _GD for s in ("home", "away")], "team_performance": [f"{s}_{c}" for c in _RATE for s in ("home", "away")], "home_advantage": [f"{s}_{s}_{c}" for c in _RATE for s in ("home", "away")], "recent_form": [f"{s}_{c}" for c in _FORM for s in ("home", "away")]}
-    names["head_to_head"] = "home_h2h_wins away_h2h_wins h2h_draws home_h2h_win_rate away_h2h_win_rate h2h_draw_rate home_h2h_goals away_h2h_goals h2h_average_goals recent_h2h_goal_difference h2h_matches_played".split()
-    names["rest_days"] = "home_rest_days away_rest_days rest_day_difference home_congested_schedule away_congested_schedule long_break_flag".split()
+    names |= {"head_to_head": re.findall(r" AS (\w+)", _H2H_COLS), "rest_days": re.findall(r" AS (\w+)", _REST_COLS)}
     order = sorted(names)
     cols = ", ".join(f'{g}."{c}" AS "{g}::{c}"' for g in order for c in names[g])
     first, *rest = order
