@@ -79,10 +79,17 @@ def anchors(documents: DataFrame, k: int = K, s: int = S) -> DataFrame:
 def _shift(ids: DataFrame, most: int = GROUP) -> int:
     """How many low bits of an id may go so that no group of ids that share the rest has over `most` of them."""
     span = ids.agg(F.count("*").alias("n"), F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).first()
-    s = max(0, min(62, ((span.hi - span.lo + 1) * most // span.n).bit_length() - 1)) if span.n else 0
-    while 1 << s > most and ids.groupBy(F.shiftright("doc_id", s)).count().where(F.col("count") > most).limit(1).count():
-        s -= 1
-    return s
+    if not span.n:
+        return 0
+    fits = lambda s: not ids.groupBy(F.shiftright("doc_id", s)).count().where(F.col("count") > most).limit(1).count()
+    low = most.bit_length() - 1  # 2**low ids are not too many
+    high = min(62, ((span.hi - span.lo + 1) * most // span.n).bit_length() - 1)  # the choice for evenly spread ids
+    if high > low and not fits(high):
+        high -= 1
+        while low < high:  # ids in clumps: a search of the bits
+            s = (low + high + 1) // 2
+            low, high = (s, high) if fits(s) else (low, s - 1)
+    return high
 
 
 def neighbours(docs: DataFrame) -> DataFrame:
@@ -105,7 +112,7 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     A null text is empty; a text without words has an empty fingerprint. The only document is its own successor. Repeated
     ids: unique_documents. Equal (also neighbouring) texts have equal fingerprints and likeness 1. An empty table gives no rows; extra columns are not read.
     """
-    docs = unique_documents(documents, "text").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = unique_documents(documents, "text").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     along = Window.partitionBy("group").orderBy("ghost", "doc_id")
     rows = neighbours(docs).withColumn("after", F.lead("text").over(along))  # null for ghosts alone
     rows = rows.withColumn("n", F.length("text")).withColumn("q", F.floor(F.col("n") / 4).cast("int"))

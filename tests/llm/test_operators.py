@@ -335,6 +335,7 @@ def test_syncmers_equal_brute_force(spark, docs, corpus):
     assert alone.near_next == 1.0
     for step in (1, 7, 2**33):
         few = spark.range(3000).select((F.col("id") * step).alias("doc_id"))
+        few = few.union(spark.createDataFrame([(2**60,), (-(2**61),)], "doc_id long")) if step == 7 else few
         assert few.groupBy(F.shiftright("doc_id", _shift(few))).count().agg(F.max("count")).first()[0] <= 256
 
 
