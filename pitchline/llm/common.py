@@ -161,10 +161,11 @@ def position(rows: DataFrame, *order) -> DataFrame:
 
 # ---------------------------------------------------------------- memory of Python workers
 def settle() -> None:
-    """From now on, arrays of 4 MB and more go back to the system as soon as they are freed."""
+    """From now on, arrays of 12 MB and more go back to the system as soon as they are freed; smaller ones are kept at hand, 32 MB of them."""
     c = ctypes.CDLL(None)
     if hasattr(c, "mallopt"):
-        c.mallopt(-3, 1 << 22)  # M_MMAP_THRESHOLD
+        c.mallopt(-3, 12 << 20)  # M_MMAP_THRESHOLD
+        c.mallopt(-1, 32 << 20)  # M_TRIM_THRESHOLD
 
 
 def release() -> None:
