@@ -119,7 +119,7 @@ def test_ingest(spark, tmp_path):
     raw_dir.mkdir()
     lines = [",".join(COLS[1:]), *(",".join([*r, *["1"] * 10]) for r in GOOD)]
     (raw_dir / "a.csv").write_text("\n".join(lines))
-    s = Settings(*(f"file://{tmp_path}/{x}" for x in ("raw", "processed", "metadata", "reports")))
+    s = Settings(*(f"file://{tmp_path}/{x}" for x in ("raw", "processed", "metadata", "reports")), logs=f"file://{tmp_path}/logs")
     paths = S.discover_csv(spark, s.raw)
     assert ingest(spark, paths, s, "2023").status == "ok"
     assert ingest(spark, paths, s, "2023").steps["rows"] == {"in": 2, "out": 2}
