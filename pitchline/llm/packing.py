@@ -134,7 +134,7 @@ class Packing:
 
     def __init__(self, spark: SparkSession, capacity: int):
         self.spark, self.capacity, self.steps, self.placed = spark, capacity, 0, []
-        self.gaps, self.swept = spark.createDataFrame([], "seq long, gap long"), None
+        self.gaps, self.swept, self.left = spark.createDataFrame([], "seq long, gap long"), None, None
 
     def place(self, rows: DataFrame) -> None:
         """rows: (rid, length, seq, at), at 0 in a sequence that opens."""
@@ -157,8 +157,8 @@ class Packing:
         order = [F.desc("size"), F.asc("kind"), F.xxhash64("id", "slot"), F.asc("id"), F.asc("slot")]
         ranges = max(1, min(self.spark.sparkContext.defaultParallelism, (n + g.n) // 1000), (n + g.n) // RANGE_ROWS)
         swept = cut(rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(lean(_sweep), _SWEPT), "swept")
-        discard(self.swept)  # the pieces left of it are in the new one
-        self.swept = swept
+        discard(self.swept, self.left)  # the pieces left of them are in the new one
+        self.swept, self.left = swept, None
         seen = swept.groupBy("part").agg(F.count(F.when(F.col("kind") == 1, 1)).alias("pieces"), F.count(F.when(F.col("kind") == 0, 1)).alias("slots")).orderBy("part").collect()  # a row a range
         plan, settled = settle_ranges([(r.part, r.pieces, r.slots) for r in seen])
         pairs = swept.where("kind = 2").select("rid", "length", "seq", "gap", "slot")
@@ -167,10 +167,13 @@ class Packing:
             meet = F.broadcast(self.spark.createDataFrame(plan, "part int, first long, end long, host int, top long"))  # two rows a range at most
             up = left.join(meet, "part").where("rank >= first and rank < end").select("rid", "length", F.col("host").alias("part"), (F.col("top") - F.col("rank") + F.col("first")).alias("rank"))
             pairs = pairs.union(up.join(swept.where("kind = 0").select("part", "rank", "seq", "gap", "slot"), ["part", "rank"]).select("rid", "length", "seq", "gap", "slot"))
-            done = F.broadcast(self.spark.createDataFrame(list(settled.items()), "part int, done long"))
-            left = left.join(done, "part").where("rank >= done").drop("done")
         before = F.sum("length").over(Window.partitionBy("seq").orderBy("slot").rowsBetween(Window.unboundedPreceding, -1))
         rest = sum(r.pieces for r in seen) - sum(settled.values())
+        if plan:
+            done = F.broadcast(self.spark.createDataFrame(list(settled.items()), "part int, done long"))  # a row a range
+            left = left.join(done, "part").where("rank >= done").select("rid", "length")
+            if rest:
+                left = self.left = cut(left, "left")  # read up to three times
         if rest < n:
             self.place(pairs.select("rid", "length", "seq", (F.lit(self.capacity) - F.col("gap") + F.coalesce(before, F.lit(0))).cast("long").alias("at")))
         return left, rest

@@ -214,6 +214,42 @@ def test_packing_against_serial_best_fit(spark, monkeypatch):
         assert least <= len(by) <= max(serial + 2, 1.01 * serial), (name, least, serial, len(by))
 
 
+def rows_made(spark, first, node, *said):
+    """Rows that plan nodes with these words made, in all SQL executions from number first on."""
+    store, total = spark._jsparkSession.sharedState().statusStore(), 0
+    for e in range(first, store.executionsCount()):
+        nodes, metrics = store.planGraph(e).allNodes(), store.executionMetrics(e)
+        for n in (nodes.apply(i) for i in range(nodes.size())):
+            if node in n.name() and all(x in n.desc() for x in said):
+                own = n.metrics()
+                for m in (own.apply(i) for i in range(own.size())):
+                    if m.name() == "number of output rows" and metrics.contains(m.accumulatorId()):
+                        total += int(metrics.apply(m.accumulatorId()).replace(",", ""))
+    return total
+
+
+def test_packing_makes_what_ranges_leave_once_a_superstep(spark, monkeypatch):
+    from pitchline.llm import packing
+
+    monkeypatch.setattr(packing, "RANGE_ROWS", 700)
+    left, match = [], packing.Packing.match
+
+    def noted(self, *a):
+        out = match(self, *a)
+        left.append(out[1])
+        assert out[0].count() == out[1]  # one more reading
+        return out
+
+    monkeypatch.setattr(packing.Packing, "match", noted)
+    for many in (4000, 8000):  # a group of equal lengths, of which gaps of other ranges hold 2,000
+        left.clear()
+        first = spark._jsparkSession.sharedState().statusStore().executionsCount()
+        df = spark.createDataFrame([(i, n) for i, n in enumerate([3000] * 1000 + [400] * many)], "doc_id long, length long").repartition(3)
+        assert packing.pack_pieces(df, 4096).count() == 1000 + many
+        assert left == [1000, many - 2000]
+        assert 0 < rows_made(spark, first, "Join", "rank", ">= done") <= sum(left)
+
+
 def test_ranges_settle_by_rank():
     from pitchline.llm.packing import settle_ranges
 
